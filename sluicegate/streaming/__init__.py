@@ -1,0 +1 @@
+"""Empty on purpose: all work here is batch, and no query needs streaming state."""
