@@ -6,19 +6,32 @@ are derived from line items and parts.  The join only prepares input.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicegate.session import shared_scratch
+
 # Columns that trace a derived record back to its line item.
 TRACE = ("l_orderkey", "l_linenumber", "l_partkey")
+_POSITION = ("source_file", "source_row")
 
 RECORDS_PER_PAGE = 100
 
+# Where this application has landed the records of a table folder.
+_landed: dict[tuple[str, str], str] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Use all cores on input that comes in fewer pieces; larger input stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def epoch_seconds(moment: Column) -> Column:
     """Seconds since 1970 of a zone-free timestamp, whatever the session time zone."""
     days = F.unix_date(moment.cast("date")).cast("long")
@@ -29,16 +42,14 @@ def _unless(missing: Column, value: Column) -> Column:
     return F.when(~missing, value)
 
 
-def traced_products(spark: SparkSession, sf_dir: str, *, positions: bool = False) -> DataFrame:
-    """Raw product records, one per line item, with the trace columns.
-
-    ``positions`` adds the file and row each line item was read from, an identity that a
-    repeated task computes again.
-    """
-    items = table(spark, sf_dir, "lineitem")
-    if positions:
-        items = items.select("*", "_metadata.file_path", "_metadata.row_index")
-    joined = items.join(
+def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw product record per line item, with its trace columns and its position."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.row_index").alias("source_row"),
+    )
+    joined = _spread(items).join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
 
@@ -50,7 +61,7 @@ def traced_products(spark: SparkSession, sf_dir: str, *, positions: bool = False
 
     return joined.select(
         *TRACE,
-        *(("file_path", "row_index") if positions else ()),
+        *_POSITION,
         _unless((k % 53 == 0) & (line <= 3), part_text).alias("_id"),
         F.when(k % 53 == 0, F.lit(None).cast("string"))
         .when(k % 59 == 0, F.lit("  "))
@@ -83,6 +94,29 @@ def traced_products(spark: SparkSession, sf_dir: str, *, positions: bool = False
     )
 
 
+def _landed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived records as a table, written once per application.
+
+    Queries then start from a stored bronze table, as they do in use, instead of each
+    repeating the derivation.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _landed:
+        try:
+            return spark.read.parquet(_landed[key])
+        except AnalysisException:  # the shared folder was cleaned
+            del _landed[key]
+    path = shared_scratch(spark, "products")
+    _derived_products(spark, sf_dir).write.parquet(path)
+    _landed[key] = path
+    return spark.read.parquet(path)
+
+
+def traced_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw product records with their trace columns."""
+    return _landed_products(spark, sf_dir).drop(*_POSITION)
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product records only."""
     return traced_products(spark, sf_dir).drop(*TRACE)
@@ -91,14 +125,14 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as response pages of at most ``RECORDS_PER_PAGE``.
 
-    A page is a run of neighbouring rows of one file.  Pages are thus bounded whatever
-    the keys look like, and a repeated task puts each record on the same page.
+    A page is a run of neighbouring rows of one source file.  Pages are thus bounded
+    whatever the keys look like, and a repeated task puts each record on the same page.
     """
-    records = traced_products(spark, sf_dir, positions=True).drop(*TRACE)
-    page_no = F.floor(F.col("row_index") / RECORDS_PER_PAGE)
-    names = [c for c in records.columns if c not in ("file_path", "row_index")]
+    records = _landed_products(spark, sf_dir).drop(*TRACE)
+    page_no = F.floor(F.col("source_row") / RECORDS_PER_PAGE)
+    names = [c for c in records.columns if c not in _POSITION]
     return (
-        records.groupBy("file_path", page_no.alias("page_no"))
+        records.groupBy("source_file", page_no.alias("page_no"))
         .agg(F.collect_list(F.struct(*names)).alias("products"))
         .select("products")
     )
