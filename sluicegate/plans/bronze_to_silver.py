@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators import (
@@ -27,7 +27,7 @@ from sluicegate.operators.routing import REASON, ROUTE
 from sluicegate.plans.record_plan import RecordPlan
 from sluicegate.run import Run
 from sluicegate.session import shared_scratch
-from sluicegate.sources import write_run
+from sluicegate.sources import read_run, write_run
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,11 @@ class SilverResult:
     def duplicate_count(self) -> int:
         return self.source_count - self.valid_count - self.quarantined_count
 
+    def counts(self, spark: SparkSession) -> DataFrame:
+        return counts_frame(
+            spark, self.source_count, self.valid_count, self.quarantined_count
+        )
+
 
 def validate(bronze: DataFrame, plan: RecordPlan, run: Run) -> DataFrame:
     """Silver columns of every raw record, valid or not."""
@@ -91,18 +96,18 @@ def bronze_to_silver(
         silver_path=silver_path,
         quarantine_path=quarantine_path,
         source_count=stage.count(),
-        valid_count=spark.read.parquet(silver_path).count(),
-        quarantined_count=spark.read.parquet(quarantine_path).count(),
+        valid_count=read_run(spark, silver_root, run, silver.schema).count(),
+        quarantined_count=read_run(spark, quarantine_root, run, quarantined.schema).count(),
     )
 
 
-def counts_frame(result: SilverResult, spark) -> DataFrame:
-    """The counts of a run as a one-row frame."""
+def counts_frame(spark: SparkSession, source: int, valid: int, quarantined: int) -> DataFrame:
+    """Known counts of a run as a one-row frame, like ``stage_counts``."""
     counts = {
-        SOURCE_COUNT: result.source_count,
-        VALID_COUNT: result.valid_count,
-        QUARANTINED_COUNT: result.quarantined_count,
-        DUPLICATE_COUNT: result.duplicate_count,
+        SOURCE_COUNT: source,
+        VALID_COUNT: valid,
+        QUARANTINED_COUNT: quarantined,
+        DUPLICATE_COUNT: source - valid - quarantined,
     }
     literals = (F.lit(n).cast("long").alias(name) for name, n in counts.items())
     return spark.range(1).select(*literals)

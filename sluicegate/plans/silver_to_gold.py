@@ -17,7 +17,7 @@ from sluicegate.plans.record_plan import (
     UNKNOWN_GRADE,
 )
 from sluicegate.run import Run
-from sluicegate.sources import write_run
+from sluicegate.sources import read_run, write_run
 
 # Names of the gold tables.
 BRAND_TABLE = "brand_summary"
@@ -100,12 +100,11 @@ def silver_to_gold(
             tables[QUALITY_TABLE] = quality_of_facts(facts, counts).withColumn(
                 "generated_at", F.lit(run.processed_at)
             )
-        paths = {
-            name: write_run(table, f"{gold_root.rstrip('/')}/{name}", run)
-            for name, table in tables.items()
-        }
+        paths, row_counts = {}, {}
+        for name, table in tables.items():
+            root = f"{gold_root.rstrip('/')}/{name}"
+            paths[name] = write_run(table, root, run)
+            row_counts[name] = read_run(silver.sparkSession, root, run, table.schema).count()
     finally:
         facts.unpersist()
-    spark = silver.sparkSession
-    row_counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     return GoldResult(paths, row_counts)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from sluicegate.plans.bronze_to_silver import bronze_to_silver, counts_frame
+from sluicegate.plans.bronze_to_silver import bronze_to_silver
 from sluicegate.plans.record_plan import PRODUCTS, RecordPlan
 from sluicegate.plans.reports import run_report
 from sluicegate.plans.silver_to_gold import silver_to_gold
@@ -30,7 +30,7 @@ class Roots:
 
 
 def process_run(
-    spark,
+    spark: SparkSession,
     bronze_path: str,
     run: Run,
     roots: Roots,
@@ -44,7 +44,7 @@ def process_run(
     bronze = read_json(spark, bronze_path, plan.bronze, multi_line=multi_line)
     silver = bronze_to_silver(bronze, plan, run, roots.silver, roots.quarantine)
     gold = silver_to_gold(
-        read_run(spark, roots.silver, run), run, roots.gold, counts_frame(silver, spark)
+        read_run(spark, roots.silver, run), run, roots.gold, silver.counts(spark)
     )
     report = run_report(
         silver,

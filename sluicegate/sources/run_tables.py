@@ -8,6 +8,7 @@ re-run has none: a dynamic overwrite of an empty result would leave the old rows
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sluicegate.run import Run
 
@@ -22,9 +23,15 @@ def write_run(rows: DataFrame, root: str, run: Run, fmt: str = "parquet") -> str
     return path
 
 
-def read_run(spark: SparkSession, root: str, run: Run) -> DataFrame:
-    """The rows of one run; no other partition is listed."""
-    return spark.read.parquet(run.directory(root))
+def read_run(
+    spark: SparkSession, root: str, run: Run, schema: T.StructType | None = None
+) -> DataFrame:
+    """The rows of one run; no other partition is listed.
+
+    With a known ``schema`` no file is opened to find it.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(run.directory(root))
 
 
 def land_bronze(records: DataFrame, root: str, run: Run) -> str:

@@ -36,7 +36,6 @@ from sluicegate.plans import (
     silver_to_gold,
     validate,
 )
-from sluicegate.plans.bronze_to_silver import counts_frame
 from sluicegate.plans.silver_to_gold import (
     BRAND_TABLE,
     CANONICAL_BRAND_TABLE,
@@ -491,7 +490,7 @@ def _silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_run(spark, roots.silver, RUN),
         RUN,
         roots.gold,
-        counts_frame(result, spark),
+        result.counts(spark),
         canonical_brands=True,
     )
     brands, canonical, grades, quality = (
