@@ -1,4 +1,4 @@
-"""The jobs: bronze to silver, silver to gold, and the run report."""
+"""The jobs: pages to bronze, bronze to silver, silver to gold, and the run report."""
 
 from sluicegate.plans.bronze_to_silver import (
     SilverResult,
@@ -6,8 +6,9 @@ from sluicegate.plans.bronze_to_silver import (
     latest_accepted,
     validate,
 )
+from sluicegate.plans.landing import land_pages
 from sluicegate.plans.record_plan import PRODUCTS, RecordPlan
-from sluicegate.plans.reports import run_metadata, run_report
+from sluicegate.plans.reports import landing_counts, run_metadata, run_report
 from sluicegate.plans.silver_to_gold import GoldResult, silver_to_gold
 from sluicegate.plans.whole_run import Roots, process_run
 
@@ -18,6 +19,8 @@ __all__ = [
     "Roots",
     "SilverResult",
     "bronze_to_silver",
+    "land_pages",
+    "landing_counts",
     "latest_accepted",
     "process_run",
     "run_metadata",

@@ -13,10 +13,22 @@ from sluicegate.operators.routing import REASON
 from sluicegate.plans.bronze_to_silver import SilverResult
 from sluicegate.plans.silver_to_gold import BRAND_TABLE, GRADE_TABLE, GoldResult
 from sluicegate.run import Run
+from sluicegate.sources import page_counts
+
+
+def landing_counts(records: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """One row: records and, given ``pages``, pages and pages without an envelope."""
+    counted = records.agg(F.count("*").alias("record_count"))
+    if pages is None:
+        no_count = F.lit(None).cast("long")
+        return counted.withColumns({"page_count": no_count, "empty_envelope_count": no_count})
+    # Two one-row frames side by side; each fills the other's columns with NULL.
+    stacked = counted.unionByName(page_counts(pages), allowMissingColumns=True)
+    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
 def run_metadata(
-    landed: DataFrame,
+    counts: DataFrame,
     run: Run,
     *,
     source: str,
@@ -25,26 +37,11 @@ def run_metadata(
     started_at: datetime,
     completed_at: datetime,
     product_path: str,
-    pages: DataFrame | None = None,
     pages_requested: int | None = None,
 ) -> DataFrame:
-    """What was landed, from where and how long it took.
-
-    ``pages`` (one row, see ``page_counts``) adds how many pages came and how many of
-    them had no envelope; without it those columns are NULL.
-    """
+    """What a run landed, from where and how long it took; see ``landing_counts``."""
     seconds = round((completed_at - started_at).total_seconds(), 2)
-    counted = landed.agg(F.count("*").alias("record_count"))
-    if pages is None:
-        no_count = F.lit(None).cast("long")
-        counted = counted.withColumns(
-            {"page_count": no_count, "empty_envelope_count": no_count}
-        )
-    else:
-        # Two one-row frames side by side; each fills the other's columns with NULL.
-        stacked = counted.unionByName(pages, allowMissingColumns=True)
-        counted = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
-    return counted.select(
+    return counts.select(
         F.lit(run.run_id).alias("run_id"),
         F.lit(source).alias("source"),
         F.lit(category).alias("category"),

@@ -40,6 +40,10 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Parsed JSON shrinks several times in Parquet; larger pieces keep the number of
+        # files written per run down.
+        .config("spark.sql.files.maxPartitionBytes", str(256 * MIB))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * MIB))
         # Lets a task keep a file open per route, instead of sorting its rows by route.
         .config("spark.sql.maxConcurrentOutputFileWriters", "4")
         # Keeps processing_date a string when partitions are discovered.

@@ -1,12 +1,19 @@
 """Readers and writers."""
 
 from sluicegate.sources.catalog import read_table_run, register_table
-from sluicegate.sources.json_records import flatten_pages, page_counts, read_json, read_pages
+from sluicegate.sources.json_records import (
+    flatten_pages,
+    page_count_columns,
+    page_counts,
+    read_json,
+    read_pages,
+)
 from sluicegate.sources.run_tables import land_bronze, read_run, write_run
 
 __all__ = [
     "flatten_pages",
     "land_bronze",
+    "page_count_columns",
     "page_counts",
     "read_json",
     "read_pages",

@@ -27,9 +27,8 @@ def register_table(
     The catalog keeps its own list of partitions, to which the run is added without
     listing the others.
     """
-    columns = ", ".join(
-        f"`{field.name}` {field.dataType.simpleString()}" for field in (*schema, *PARTITION_FIELDS)
-    )
+    fields = (T.StructField(f.name, f.dataType) for f in (*schema, *PARTITION_FIELDS))
+    columns = T.StructType(list(fields)).toDDL()
     partitions = ", ".join(field.name for field in PARTITION_FIELDS)
     location = root.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(

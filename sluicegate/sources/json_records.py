@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,9 +76,14 @@ def flatten_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
     return pages.select(F.inline(records))
 
 
-def page_counts(pages: DataFrame) -> DataFrame:
-    """One row: pages read and pages without an envelope."""
-    return pages.agg(
+def page_count_columns() -> list[Column]:
+    """Aggregates over pages: how many there are, and how many without an envelope."""
+    return [
         F.count("*").alias("page_count"),
         F.count_if(F.col(_ENVELOPE).isNull()).alias("empty_envelope_count"),
-    )
+    ]
+
+
+def page_counts(pages: DataFrame) -> DataFrame:
+    """One row of ``page_count_columns``."""
+    return pages.agg(*page_count_columns())

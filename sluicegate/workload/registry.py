@@ -30,6 +30,7 @@ from sluicegate.plans import (
     PRODUCTS,
     Roots,
     bronze_to_silver,
+    landing_counts,
     latest_accepted,
     process_run,
     run_metadata,
@@ -53,7 +54,6 @@ from sluicegate.session import shared_scratch
 from sluicegate.sources import (
     flatten_pages,
     land_bronze,
-    page_counts,
     read_json,
     read_pages,
     read_run,
@@ -186,7 +186,7 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     product_pages(spark, sf_dir).write.json(f"{root}/pages")
     pages = read_pages(spark, f"{root}/pages", multi_line=False)
     record = run_metadata(
-        flatten_pages(pages, PRODUCTS.bronze),
+        landing_counts(flatten_pages(pages, PRODUCTS.bronze), pages),
         RUN,
         source="line items",
         category="all",
@@ -194,7 +194,6 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         started_at=datetime(2024, 3, 1, 11, 59, 0, tzinfo=timezone.utc),
         completed_at=datetime(2024, 3, 1, 12, 0, 1, 256000, tzinfo=timezone.utc),
         product_path="pages",
-        pages=page_counts(pages),
     )
     write_run(record, f"{root}/runs", RUN)
     return read_run(spark, f"{root}/runs", RUN).drop(

@@ -7,10 +7,25 @@ import pytest
 
 from sluicegate import Run, session, shared_scratch, shuffle_partitions_for
 from sluicegate.jobs import bronze_to_silver as silver_job
+from sluicegate.jobs import land_pages as land_job
 from sluicegate.jobs import process_run as whole_job
 from sluicegate.jobs import silver_to_gold as gold_job
-from sluicegate.plans import PRODUCTS, Roots, bronze_to_silver, process_run, run_metadata
-from sluicegate.sources import land_bronze, read_run, read_table_run, register_table, write_run
+from sluicegate.plans import (
+    PRODUCTS,
+    Roots,
+    bronze_to_silver,
+    landing_counts,
+    process_run,
+    run_metadata,
+)
+from sluicegate.sources import (
+    land_bronze,
+    read_json,
+    read_run,
+    read_table_run,
+    register_table,
+    write_run,
+)
 from tests.conftest import plan_of, record
 
 RECORDS = (
@@ -148,7 +163,7 @@ def test_mains(spark, bronze, run, tmp_path, capsys):
 def test_run_metadata_without_pages(bronze, run):
     start = datetime(2024, 1, 1, tzinfo=timezone.utc)
     row = run_metadata(
-        bronze(*RECORDS),
+        landing_counts(bronze(*RECORDS)),
         run,
         source="s",
         category="c",
@@ -162,6 +177,25 @@ def test_run_metadata_without_pages(bronze, run):
     assert row.duration_seconds == 3.46
 
 
+def test_pages_are_landed_and_counted(spark, run, tmp_path, capsys):
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    for i, content in enumerate(({"products": list(RECORDS[:3])}, {}, {"products": list(RECORDS[3:])})):
+        (pages / f"{i}.json").write_text(json.dumps(content))
+    land_job.main(
+        ["--run-id", run.run_id, "--processing-date", run.processing_date,
+         "--pages-path", str(pages), "--bronze-root", f"{tmp_path}/bronze",
+         "--metadata-root", f"{tmp_path}/runs", "--source", "s", "--category", "c",
+         "--page-size", "3", "--pages-requested", "3"]
+    )
+    printed = json.loads(capsys.readouterr().out)
+    row = read_run(spark, f"{tmp_path}/runs", run).first()
+    assert (row.page_count, row.empty_envelope_count, row.record_count) == (3, 1, 5)
+    assert printed["record_count"] == 5
+    landed = read_json(spark, row.product_path, PRODUCTS.bronze, multi_line=False)
+    assert sorted(r.code or "" for r in landed.collect()) == ["", "1", "1", "2", "3"]
+
+
 def test_shuffle_width_follows_the_input():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(2**40) == 8192

@@ -99,5 +99,5 @@ def test_an_envelope_that_is_no_list_is_an_error(spark, write, envelope):
 
 
 def test_a_page_that_is_not_json_is_an_error(spark, write):
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
         read_pages(spark, write("page.json", '{"products": [{"co')).collect()
