@@ -26,9 +26,7 @@ def main(argv: list[str] | None = None) -> GoldResult:
     silver = read_table_run(spark, options.silver_table, run)
     counts = None
     if options.source_count is not None and options.quarantined_count is not None:
-        counts = counts_frame(
-            spark, options.source_count, silver.count(), options.quarantined_count
-        )
+        counts = counts_frame(spark, options.source_count, options.quarantined_count)
     result = silver_to_gold(silver, run, options.gold_root, counts, canonical_brands=True)
     for name, path in result.paths.items():
         print(f"{name}: {result.row_counts[name]} rows in {path}")

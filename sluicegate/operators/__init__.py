@@ -3,6 +3,7 @@
 from sluicegate.operators.counting import (
     rates,
     reason_breakdown,
+    route_counts,
     stage_counts,
 )
 from sluicegate.operators.dedup import Order, latest_per_key
@@ -39,6 +40,7 @@ __all__ = [
     "quarantined_rows",
     "rates",
     "reason_breakdown",
+    "route_counts",
     "run_quality",
     "stage_counts",
     "stamp_run",

@@ -14,7 +14,14 @@ SOURCE_COUNT = "source_record_count"
 VALID_COUNT = "valid_record_count"
 QUARANTINED_COUNT = "quarantined_record_count"
 DUPLICATE_COUNT = "duplicate_record_count"
-COUNTS = (SOURCE_COUNT, VALID_COUNT, QUARANTINED_COUNT, DUPLICATE_COUNT)
+
+
+def route_counts(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: input rows and rejected rows, without a shuffle of either."""
+    return rows.agg(
+        F.count("*").alias(SOURCE_COUNT),
+        F.count_if(~passes_all(rules)).alias(QUARANTINED_COUNT),
+    )
 
 
 def stage_counts(rows: DataFrame, rules: Sequence[Rule], key: Sequence[str]) -> DataFrame:

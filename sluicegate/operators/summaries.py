@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sluicegate.functions import Average
 from sluicegate.operators.counting import (
-    COUNTS,
     DUPLICATE_COUNT,
     QUARANTINED_COUNT,
     SOURCE_COUNT,
@@ -46,9 +45,10 @@ def top_groups(summary: DataFrame, name: str, n: int) -> DataFrame:
 
 
 def _quality_columns(
-    average: Column, lowest: Column, highest: Column, low_count: Column
+    n: Column, average: Column, lowest: Column, highest: Column, low_count: Column
 ) -> list[Column]:
     return [
+        n.alias(VALID_COUNT),
         average,
         lowest.alias("minimum_completeness_score"),
         highest.alias("maximum_completeness_score"),
@@ -62,28 +62,31 @@ def _low() -> Column:
 
 def _with_counts(quality: DataFrame, counts: DataFrame) -> DataFrame:
     """Put two one-row frames side by side (each fills the other's columns with NULL)."""
-    stacked = quality.unionByName(counts.select(*COUNTS), allowMissingColumns=True)
+    known = counts.select(SOURCE_COUNT, QUARANTINED_COUNT)
+    stacked = quality.unionByName(known, allowMissingColumns=True)
     merged = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
+    duplicates = F.col(SOURCE_COUNT) - F.col(VALID_COUNT) - F.col(QUARANTINED_COUNT)
     return rates(merged).select(
         SOURCE_COUNT,
         VALID_COUNT,
         QUARANTINED_COUNT,
-        DUPLICATE_COUNT,
+        duplicates.alias(DUPLICATE_COUNT),
         "acceptance_rate",
         "quarantine_rate",
-        *quality.columns,
+        *(c for c in quality.columns if c != VALID_COUNT),
     )
 
 
 def run_quality(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """One row: score statistics of the accepted rows beside the run's counts.
 
+    ``counts`` has the source and the quarantined rows, see ``route_counts``.
     With no accepted row the statistics are NULL; the rates are 0.0 only if there was no
     source row either.
     """
     quality = rows.agg(
         *_quality_columns(
-            _SCORE_AVERAGE.of_rows(), F.min(SCORE), F.max(SCORE), F.sum(_low())
+            F.count("*"), _SCORE_AVERAGE.of_rows(), F.min(SCORE), F.max(SCORE), F.sum(_low())
         )
     )
     return _with_counts(quality, counts)
@@ -119,6 +122,7 @@ def quality_of_facts(facts: DataFrame, counts: DataFrame) -> DataFrame:
     """``run_quality`` rolled up from ``group_facts``."""
     quality = facts.agg(
         *_quality_columns(
+            F.coalesce(F.sum("row_count"), F.lit(0)),
             _SCORE_AVERAGE.of_partials(),
             F.min("score_min"),
             F.max("score_max"),

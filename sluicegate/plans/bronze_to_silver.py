@@ -17,12 +17,7 @@ from sluicegate.operators import (
     standardize,
     with_route,
 )
-from sluicegate.operators.counting import (
-    DUPLICATE_COUNT,
-    QUARANTINED_COUNT,
-    SOURCE_COUNT,
-    VALID_COUNT,
-)
+from sluicegate.operators.counting import QUARANTINED_COUNT, SOURCE_COUNT
 from sluicegate.operators.routing import REASON, ROUTE
 from sluicegate.plans.record_plan import RecordPlan
 from sluicegate.run import Run
@@ -46,9 +41,7 @@ class SilverResult:
         return self.source_count - self.valid_count - self.quarantined_count
 
     def counts(self, spark: SparkSession) -> DataFrame:
-        return counts_frame(
-            spark, self.source_count, self.valid_count, self.quarantined_count
-        )
+        return counts_frame(spark, self.source_count, self.quarantined_count)
 
 
 def validate(bronze: DataFrame, plan: RecordPlan, run: Run) -> DataFrame:
@@ -101,13 +94,7 @@ def bronze_to_silver(
     )
 
 
-def counts_frame(spark: SparkSession, source: int, valid: int, quarantined: int) -> DataFrame:
-    """Known counts of a run as a one-row frame, like ``stage_counts``."""
-    counts = {
-        SOURCE_COUNT: source,
-        VALID_COUNT: valid,
-        QUARANTINED_COUNT: quarantined,
-        DUPLICATE_COUNT: source - valid - quarantined,
-    }
-    literals = (F.lit(n).cast("long").alias(name) for name, n in counts.items())
-    return spark.range(1).select(*literals)
+def counts_frame(spark: SparkSession, source: int, quarantined: int) -> DataFrame:
+    """Known counts of a run as a one-row frame, like ``route_counts``."""
+    counts = {SOURCE_COUNT: source, QUARANTINED_COUNT: quarantined}
+    return spark.range(1).select(*(F.lit(n).cast("long").alias(c) for c, n in counts.items()))

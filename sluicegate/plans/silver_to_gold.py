@@ -81,7 +81,7 @@ def silver_to_gold(
     once, into partial sums by brand and grade; the tables roll up from those.  The sums
     are exact, so the result equals an aggregation of the rows themselves.
 
-    ``counts`` (one row, see ``stage_counts``) is needed for the quality table.
+    ``counts`` (one row, see ``route_counts``) is needed for the quality table.
     """
     facts = product_facts(silver).persist()
     try:

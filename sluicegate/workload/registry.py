@@ -20,6 +20,7 @@ from sluicegate.operators import (
     quarantined_rows,
     rates,
     reason_breakdown,
+    route_counts,
     run_quality,
     stage_counts,
     stamp_run,
@@ -433,7 +434,7 @@ def _grade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("run_quality")
 def _run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows(spark, sf_dir)
-    counts = stage_counts(rows, PRODUCTS.rules, PRODUCTS.key)
+    counts = route_counts(rows, PRODUCTS.rules)
     return run_quality(latest_accepted(rows, PRODUCTS), counts)
 
 

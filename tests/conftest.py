@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             # Compiling a stage takes longer than running it on a handful of rows.
             "spark.sql.codegen.wholeStage": "false",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from sluicegate.functions import Between
-from sluicegate.operators import Order, latest_per_key, stage_counts
+from sluicegate.operators import Order, latest_per_key, route_counts, stage_counts
 from sluicegate.plans import PRODUCTS, latest_accepted, validate
 from tests.conftest import plan_of, record
 
@@ -87,6 +87,7 @@ def test_counts_account_for_every_row(bronze, run):
     )
     counts = stage_counts(rows, PRODUCTS.rules, PRODUCTS.key).first()
     assert tuple(counts) == (5, 2, 2, 1)
+    assert tuple(route_counts(rows, PRODUCTS.rules).first()) == (5, 2)
     assert latest_accepted(rows, PRODUCTS).count() == 2
     empty = stage_counts(rows.where("false"), PRODUCTS.rules, PRODUCTS.key).first()
     assert tuple(empty) == (0, 0, 0, 0)

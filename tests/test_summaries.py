@@ -138,7 +138,7 @@ def test_facts_roll_up_to_the_same_summaries(spark, silver):
     for name, frame in rolled.items():
         assert frame.schema.names == direct[name].schema.names
         assert _found(frame) == _found(direct[name]), name
-    counts = counts_frame(spark, 4000, 3000, 700)
+    counts = counts_frame(spark, 4000, 700)
     from_facts, from_rows = quality_of_facts(facts, counts), run_quality(silver, counts)
     assert from_facts.schema == from_rows.schema
     assert from_facts.collect() == from_rows.collect()
@@ -146,7 +146,7 @@ def test_facts_roll_up_to_the_same_summaries(spark, silver):
 
 
 def test_run_quality(spark, silver, data):
-    row = run_quality(silver, counts_frame(spark, 4000, 3000, 700)).first()
+    row = run_quality(silver, counts_frame(spark, 4000, 700)).first()
     scores = [r[-1] for r in data]
     assert row.asDict() == {
         "source_record_count": 4000,
@@ -165,17 +165,18 @@ def test_run_quality(spark, silver, data):
 
 def test_run_quality_of_nothing(spark, silver):
     none = silver.where("false")
-    row = run_quality(none, counts_frame(spark, 0, 0, 0)).first()
+    row = run_quality(none, counts_frame(spark, 0, 0)).first()
     assert row.acceptance_rate == row.quarantine_rate == 0.0
     assert row.average_completeness_score is None
     assert row.low_completeness_count is None
-    rejected = run_quality(none, counts_frame(spark, 8, 0, 8)).first()
+    rejected = run_quality(none, counts_frame(spark, 8, 8)).first()
     assert (rejected.acceptance_rate, rejected.quarantine_rate) == (0.0, 1.0)
-    assert quality_of_facts(product_facts(none), counts_frame(spark, 0, 0, 0)).first() == row
+    assert quality_of_facts(product_facts(none), counts_frame(spark, 0, 0)).first() == row
 
 
 def test_rates_round_half_up(spark):
-    row = rates(counts_frame(spark, 20_000, 1, 3)).first()
+    counts = counts_frame(spark, 20_000, 3).withColumn("valid_record_count", F.lit(1))
+    row = rates(counts).first()
     assert (row.acceptance_rate, row.quarantine_rate) == (0.0001, 0.0002)
 
 
