@@ -21,7 +21,7 @@ from sluicegate.operators.counting import QUARANTINED_COUNT, SOURCE_COUNT
 from sluicegate.operators.routing import REASON, ROUTE
 from sluicegate.plans.record_plan import RecordPlan
 from sluicegate.run import Run
-from sluicegate.session import shared_scratch
+from sluicegate.session import discard_scratch, shared_scratch
 from sluicegate.sources import read_run, write_run
 
 
@@ -72,23 +72,27 @@ def bronze_to_silver(
     spark = bronze.sparkSession
     stage_path = shared_scratch(spark, f"validated-{run.run_id}")
     routed = with_route(validate(bronze, plan, run), plan.rules)
-    routed.write.partitionBy(ROUTE).parquet(stage_path)
-
-    # The staged columns are known, so no file is opened to find them, and a side without
-    # rows is simply empty.
-    stage = spark.read.schema(routed.schema).parquet(stage_path)
-    quarantined = stage.where(F.col(ROUTE) == QUARANTINED).drop(ROUTE)
-    accepted = stage.where(F.col(ROUTE) == ACCEPTED).drop(ROUTE, REASON)
-
-    quarantine_path = write_run(quarantined, quarantine_root, run)
-    silver = latest_per_key(accepted, plan.key, plan.latest)
-    silver_path = write_run(silver, silver_root, run)
+    try:
+        routed.write.partitionBy(ROUTE).parquet(stage_path)
+
+        # The staged columns are known, so no file is opened to find them, and a side
+        # without rows is simply empty.
+        stage = spark.read.schema(routed.schema).parquet(stage_path)
+        quarantined = stage.where(F.col(ROUTE) == QUARANTINED).drop(ROUTE)
+        accepted = stage.where(F.col(ROUTE) == ACCEPTED).drop(ROUTE, REASON)
+
+        quarantine_path = write_run(quarantined, quarantine_root, run)
+        silver = latest_per_key(accepted, plan.key, plan.latest)
+        silver_path = write_run(silver, silver_root, run)
+        source_count = stage.count()
+    finally:
+        discard_scratch(spark, stage_path)
 
     return SilverResult(
         run=run,
         silver_path=silver_path,
         quarantine_path=quarantine_path,
-        source_count=stage.count(),
+        source_count=source_count,
         valid_count=read_run(spark, silver_root, run, silver.schema).count(),
         quarantined_count=read_run(spark, quarantine_root, run, quarantined.schema).count(),
     )

@@ -75,3 +75,11 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
             _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="sluicegate-")
         root = _local_roots[context.applicationId]
     return f"{root.rstrip('/')}/sluicegate/{label}-{uuid.uuid4().hex}"
+
+
+def discard_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table written under ``shared_scratch``, on whatever file system it is."""
+    if "/sluicegate/" not in path:
+        raise ValueError(f"{path} is not a scratch path")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from sluicegate import Run, session, shared_scratch, shuffle_partitions_for
 from sluicegate.jobs import bronze_to_silver as silver_job
@@ -64,6 +67,20 @@ def test_silver_job(spark, bronze, run, roots):
     }
 
 
+def test_no_staging_table_is_left(spark, bronze, run, roots):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    pattern = f"sluicegate/validated-{run.run_id}-*"
+    bronze_to_silver(bronze(RECORDS[0]), PRODUCTS, run, roots.silver, roots.quarantine)
+    assert not list(shared.glob(pattern))
+    unreadable = bronze(RECORDS[0]).withColumn("code", F.raise_error(F.lit("broken")))
+    with pytest.raises(PySparkException, match="broken"):
+        bronze_to_silver(unreadable, PRODUCTS, run, roots.silver, roots.quarantine)
+    assert not list(shared.glob(pattern))
+    with pytest.raises(ValueError, match="not a scratch path"):
+        session.discard_scratch(spark, roots.silver)
+    assert read_run(spark, roots.silver, run).count() == 1
+
+
 def test_a_re_run_replaces_its_own_rows_only(spark, bronze, run, roots):
     other = Run("other", run.processing_date, run.processed_at)
     for r in (other, run):
