@@ -22,7 +22,7 @@ from sluicegate.operators.routing import REASON, ROUTE
 from sluicegate.plans.record_plan import RecordPlan
 from sluicegate.run import Run
 from sluicegate.session import discard_scratch, shared_scratch
-from sluicegate.sources import read_run, write_run
+from sluicegate.sources import write_runs
 
 
 @dataclass(frozen=True)
@@ -81,20 +81,19 @@ def bronze_to_silver(
         quarantined = stage.where(F.col(ROUTE) == QUARANTINED).drop(ROUTE)
         accepted = stage.where(F.col(ROUTE) == ACCEPTED).drop(ROUTE, REASON)
 
-        quarantine_path = write_run(quarantined, quarantine_root, run)
         silver = latest_per_key(accepted, plan.key, plan.latest)
-        silver_path = write_run(silver, silver_root, run)
+        written = write_runs({quarantine_root: quarantined, silver_root: silver}, run)
         source_count = stage.count()
     finally:
         discard_scratch(spark, stage_path)
 
     return SilverResult(
         run=run,
-        silver_path=silver_path,
-        quarantine_path=quarantine_path,
+        silver_path=run.directory(silver_root),
+        quarantine_path=run.directory(quarantine_root),
         source_count=source_count,
-        valid_count=read_run(spark, silver_root, run, silver.schema).count(),
-        quarantined_count=read_run(spark, quarantine_root, run, quarantined.schema).count(),
+        valid_count=written[silver_root],
+        quarantined_count=written[quarantine_root],
     )
 
 

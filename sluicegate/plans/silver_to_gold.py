@@ -17,7 +17,7 @@ from sluicegate.plans.record_plan import (
     UNKNOWN_GRADE,
 )
 from sluicegate.run import Run
-from sluicegate.sources import read_run, write_run
+from sluicegate.sources import write_runs
 
 # Names of the gold tables.
 BRAND_TABLE = "brand_summary"
@@ -100,11 +100,11 @@ def silver_to_gold(
             tables[QUALITY_TABLE] = quality_of_facts(facts, counts).withColumn(
                 "generated_at", F.lit(run.processed_at)
             )
-        paths, row_counts = {}, {}
-        for name, table in tables.items():
-            root = f"{gold_root.rstrip('/')}/{name}"
-            paths[name] = write_run(table, root, run)
-            row_counts[name] = read_run(silver.sparkSession, root, run, table.schema).count()
+        roots = {f"{gold_root.rstrip('/')}/{name}": name for name in tables}
+        written = write_runs({root: tables[name] for root, name in roots.items()}, run)
     finally:
         facts.unpersist()
-    return GoldResult(paths, row_counts)
+    return GoldResult(
+        paths={name: run.directory(root) for root, name in roots.items()},
+        row_counts={name: written[root] for root, name in roots.items()},
+    )

@@ -8,7 +8,7 @@ from sluicegate.sources.json_records import (
     read_json,
     read_pages,
 )
-from sluicegate.sources.run_tables import land_bronze, read_run, write_run
+from sluicegate.sources.run_tables import land_bronze, read_run, write_run, write_runs
 
 __all__ = [
     "flatten_pages",
@@ -21,4 +21,5 @@ __all__ = [
     "read_table_run",
     "register_table",
     "write_run",
+    "write_runs",
 ]

@@ -7,6 +7,10 @@ re-run has none: a dynamic overwrite of an empty result would leave the old rows
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -34,6 +38,22 @@ def read_run(
     return reader.parquet(run.directory(root))
 
 
+def write_runs(tables: Mapping[str, DataFrame], run: Run) -> dict[str, int]:
+    """Write this run's partition of several tables, by root, and count their rows.
+
+    The tables are submitted together, so that one fills the cores which the last tasks of
+    another leave idle.  Rows are counted from the files' footers.
+    """
+
+    def write(root: str) -> int:
+        rows = tables[root]
+        write_run(rows, root, run)
+        return read_run(rows.sparkSession, root, run, rows.schema).count()
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        return dict(zip(tables, pool.map(inheritable_thread_target(write), tables)))
+
+
 def land_bronze(records: DataFrame, root: str, run: Run) -> str:
     """Land raw records as JSON, one per line, under their ingestion date and run.
 
