@@ -69,6 +69,8 @@ def bronze_to_silver(
     losing executors during the deduplication repeats a columnar read and not the
     parsing.  All counts come from Parquet footers.
     """
+    if silver_root.rstrip("/") == quarantine_root.rstrip("/"):
+        raise ValueError("silver and quarantine need different roots")
     spark = bronze.sparkSession
     stage_path = shared_scratch(spark, f"validated-{run.run_id}")
     routed = with_route(validate(bronze, plan, run), plan.rules)

@@ -50,8 +50,11 @@ def write_runs(tables: Mapping[str, DataFrame], run: Run) -> dict[str, int]:
         write_run(rows, root, run)
         return read_run(rows.sparkSession, root, run, rows.schema).count()
 
-    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-        return dict(zip(tables, pool.map(inheritable_thread_target(write), tables)))
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        # Each thread gets its own copy of the caller's job settings (group, pool, tags).
+        writes = [pool.submit(inheritable_thread_target(spark)(write), root) for root in tables]
+    return {root: done.result() for root, done in zip(tables, writes)}
 
 
 def land_bronze(records: DataFrame, root: str, run: Run) -> str:

@@ -67,6 +67,11 @@ def test_silver_job(spark, bronze, run, roots):
     }
 
 
+def test_the_two_tables_need_different_roots(bronze, run, roots):
+    with pytest.raises(ValueError, match="different roots"):
+        bronze_to_silver(bronze(RECORDS[0]), PRODUCTS, run, roots.silver, f"{roots.silver}/")
+
+
 def test_no_staging_table_is_left(spark, bronze, run, roots):
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     pattern = f"sluicegate/validated-{run.run_id}-*"
