@@ -60,13 +60,29 @@ def test_silver_job(spark, bronze, run, roots):
     silver = spark.read.parquet(result.silver_path)
     assert {(r.barcode, r.brand) for r in silver.collect()} == {("1", "acme"), ("2", "Acme")}
     assert "rejection_reason" not in silver.columns
-    reasons = {r.barcode: r.rejection_reason for r in read_run(spark, roots.quarantine, run).collect()}
+    rejected = read_run(spark, roots.quarantine, run).collect()
+    reasons = {r.barcode: r.rejection_reason for r in rejected}
     assert reasons == {
         None: "missing_barcode; invalid_sugars_100g",
         "3": "invalid_sugars_100g",
     }
 
 
+def test_a_third_on_one_key_and_a_third_rejected(spark, run, roots):
+    i = F.col("id")
+    text = {f.name: F.lit("x") for f in PRODUCTS.bronze if f.dataType.simpleString() == "string"}
+    text["code"] = F.when(i % 3 == 0, "hot").when(i % 3 == 1, " ").otherwise(i.cast("string"))
+    skewed = spark.range(0, 6000, 1, 8).select(
+        *(value.alias(name) for name, value in text.items()),
+        i.alias("last_modified_t"),
+        F.lit(None).cast(PRODUCTS.bronze["nutriments"].dataType).alias("nutriments"),
+    )
+    result = bronze_to_silver(skewed, PRODUCTS, run, roots.silver, roots.quarantine)
+    assert _counts(result) == (6000, 2001, 2000, 1999)
+    hot = read_run(spark, roots.silver, run).where("barcode = 'hot'").collect()
+    assert [r.source_last_modified_timestamp for r in hot] == [5997]
+
+
 def test_the_two_tables_need_different_roots(bronze, run, roots):
     with pytest.raises(ValueError, match="different roots"):
         bronze_to_silver(bronze(RECORDS[0]), PRODUCTS, run, roots.silver, f"{roots.silver}/")
@@ -202,7 +218,8 @@ def test_run_metadata_without_pages(bronze, run):
 def test_pages_are_landed_and_counted(spark, run, tmp_path, capsys):
     pages = tmp_path / "pages"
     pages.mkdir()
-    for i, content in enumerate(({"products": list(RECORDS[:3])}, {}, {"products": list(RECORDS[3:])})):
+    contents = ({"products": list(RECORDS[:3])}, {}, {"products": list(RECORDS[3:])})
+    for i, content in enumerate(contents):
         (pages / f"{i}.json").write_text(json.dumps(content))
     land_job.main(
         ["--run-id", run.run_id, "--processing-date", run.processing_date,
