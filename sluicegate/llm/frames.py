@@ -66,9 +66,12 @@ class Chunk:
         self.data = data  # uint8
         self.starts = starts  # one more than rows
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end of every word, and the first word of each text (one more)."""
-        letters = ~SPACES[self.data]
+    def words(self, letter: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end of every word, and the first word of each text (one more).
+
+        ``letter`` says which bytes are in words; by default all but white space.
+        """
+        letters = ~SPACES[self.data] if letter is None else letter[self.data]
         fresh = letters.copy()
         fresh[1:] &= ~letters[:-1]
         inner = self.starts[:-1]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import licenses, packing, quality, simhash, toxicity
+from sluicegate.llm import html_text, licenses, packing, quality, simhash, toxicity
 from sluicegate.llm.frames import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components by fingerprints of 3-word shingles, 2 bits or fewer apart."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
