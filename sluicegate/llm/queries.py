@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import html_text, licenses, packing, quality, simhash, toxicity
+from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, toxicity
 from sluicegate.llm.frames import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document, with up to a fifth of its words edited."""
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from those whose id's remainder is not 2."""
     docs = table(spark, sf_dir, "documents")
