@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, toxicity
+from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, substrings, toxicity
 from sluicegate.llm.frames import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 20-word windows that stand earlier."""
+    return substrings.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item in every document, with up to a fifth of its words edited."""
     return decontaminate.find_leaks(
