@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, substrings, toxicity
+from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, substrings, suffixes, toxicity
 from sluicegate.llm.frames import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 200-byte strings that occur again."""
+    return suffixes.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from those whose id's remainder is not 2."""
     docs = table(spark, sf_dir, "documents")
