@@ -108,13 +108,17 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return data + capital.astype(np.uint8) * np.uint8(32)
 
 
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse."""
-    up = np.full(count, _BASE, np.uint64)
-    down = np.full(count, _INVERSE, np.uint64)
-    if count:
-        up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+    """Powers of the hash base and of its inverse, kept as far as they were needed."""
+    if len(_powers[0]) < count:
+        for at, base in enumerate((_BASE, _INVERSE)):
+            factors = np.full(count + count // 4, base, np.uint64)
+            factors[0] = 1
+            _powers[at] = np.cumprod(factors)
+    return _powers[0][:count], _powers[1][:count]
 
 
 def span_hashes(
