@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import decontaminate, html_text, licenses, packing, quality, simhash, substrings, suffixes, toxicity
+from sluicegate.llm import (
+    decontaminate,
+    html_text,
+    language_model,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    suffixes,
+    toxicity,
+)
 from sluicegate.llm.frames import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +81,20 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learnt from those whose id's remainder is not 2."""
+    held_out = F.coalesce(id_remainder("doc_id", 7) == 2, F.lit(False))
+    return language_model.fit_and_score(table(spark, sf_dir, "documents"), ~held_out).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components by fingerprints of 3-word shingles, 2 bits or fewer apart."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -165,3 +165,10 @@ class Level:
         hit[hit] = self.words[first[hit]] == wanted[hit]
         result[who[hit]] = first[hit]
         return result
+
+    def words_at(self, places: np.ndarray) -> np.ndarray:
+        """The word of the n-gram at each place."""
+        every = self.pointers[np.arange(self.pointers.size)]
+        low = every[np.searchsorted(every, places, "right") - 1]
+        base = np.where(low > 0, self.words[np.maximum(low - 1, 0)] + 1, 0)
+        return self.words[places] - base
