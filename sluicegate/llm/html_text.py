@@ -49,8 +49,11 @@ BOILERPLATE_WORDS = frozenset(
     "taboola outbrain complementary contentinfo search".split()
 )
 
+# Nothing here backtracks or reads on past the next tag, so malformed pages take no longer.  Quoted values of
+# over a thousand characters may not hold a tag's opening.
+_NAME = r"([a-zA-Z][\w:.-]*+)"
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<(/?){_NAME}((?:[^<>"']++|"[^"]{{0,1000}}"|'[^']{{0,1000}}'){{0,100}}+)>|<(/?){_NAME}([^<>]*+)>|<[!?][^<>]*+>""",
     re.DOTALL,
 )
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)

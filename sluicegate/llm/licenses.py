@@ -30,7 +30,8 @@ BASE_PHRASES = (
 
 # Label, keyword, how the license is named in running text, its SPDX words.
 LICENSES = (
-    ("mit", "mit", "(?:mit|expat)(?: x11)?", "mit"),
+    ("mit", "mit", "mit(?: x11)?", "mit"),
+    ("mit", "expat", "expat", "mit"),
     ("mit-0", "mit", "mit no attribution", "mit 0"),
     ("x11", "x11", "x11", "x11"),
     ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? 1 1", "apache 1 1"),
@@ -44,8 +45,8 @@ LICENSES = (
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("boost", "boost", "boost(?: software)?(?: license)?(?: version)?(?: 1 0)?", "bsl 1 0"),
     ("unlicense", "unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "wtfpl", "(?:wtfpl|do what the fuck you want to public)", "wtfpl"),
-    ("gpl-1", "gnu", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
+    ("gpl-1", "gnu", "gnu (?:gpl|general public license)(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
     ("gpl-2", "gnu", "gnu (?:gpl|general public license)(?: version| v)? ?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
     ("gpl-2", "gpl", "(?:gpl ?v? ?2|gplv2)(?: 0)?", "gpl 2 0"),
     ("gpl-3", "gnu", "gnu (?:gpl|general public license)(?: version| v)? ?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
@@ -65,7 +66,8 @@ LICENSES = (
     ("epl-1", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?", "epl 1 0"),
     ("epl-2", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?", "epl 2 0"),
     ("edl", "eclipse", "eclipse distribution license", "edl 1 0"),
-    ("cddl", "cddl", "(?:cddl|common development and distribution license)", "cddl 1 [01]"),
+    ("cddl", "cddl", "cddl", "cddl 1 [01]"),
+    ("cddl", "distribution", "common development and distribution license", "cddl 1 [01]"),
     ("cpl", "common", "common public license", "cpl 1 0"),
     ("ipl", "ibm", "ibm public license", "ipl 1 0"),
     ("eupl", "european", "european union public licen[cs]e", "eupl 1 [12]"),
@@ -112,8 +114,8 @@ NOTICES = (
     ("bsd-4", "acknowledgement", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
     ("apache-2", "compliance", "you may not use this file except in compliance with the license"),
     ("gpl", "redistribute", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("gpl-2", "redistribute", "either version 2 of the license or at your option any later version"),
-    ("gpl-3", "redistribute", "either version 3 of the license or at your option any later version"),
+    ("gpl-2", "either", "either version 2 of the license or at your option any later version"),
+    ("gpl-3", "either", "either version 3 of the license or at your option any later version"),
     ("lgpl", "library", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
     ("agpl-3", "affero", "under the terms of the gnu affero general public license"),
     ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
@@ -146,7 +148,8 @@ def rules() -> list[dict]:
     found += [(NOTICE_PRIORITY, label, word, text) for label, word, text in NOTICES]
     for priority, form in MENTIONS:
         for label, word, name, spdx in LICENSES:
-            found.append((priority, label, word, form.replace("NAME", name).replace("SPDX", spdx)))
+            keyword = "spdx" if "SPDX" in form else word
+            found.append((priority, label, keyword, form.replace("NAME", name).replace("SPDX", spdx)))
     return [
         {
             "rule": at,

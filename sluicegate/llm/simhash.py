@@ -211,7 +211,7 @@ def _links(points: DataFrame, radius: int, sample_points: int, shard_points: int
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Smallest vertex ``root`` reachable from each vertex ``v`` of the links (a, b).
+    """Smallest vertex ``root`` reachable from each other vertex ``v`` of the links (a, b).
 
     Alternates large and small stars until nothing changes; the number of rounds grows with
     the logarithm of the longest path.  Neighbourhoods are only ever aggregated to their

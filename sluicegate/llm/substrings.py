@@ -112,13 +112,32 @@ def _send_halves(window: int):
     return run
 
 
+def _without_repeats(batch: pa.RecordBatch, last: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
+    """Leave out rows that are the row before them again, which one document in several rows sends."""
+    if not batch.num_rows:
+        return batch, last
+    names = ["hash", "id", "tie", "pos"]
+    same = np.ones(batch.num_rows, bool)
+    for name in names:
+        codes = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        same[1:] &= codes[1:] == codes[:-1]
+    same[0] = last == tuple(batch.column(name)[0].as_py() for name in names)
+    end = batch.num_rows - 1
+    return (
+        batch.filter(pa.array(~same)) if same.any() else batch,
+        tuple(batch.column(name)[end].as_py() for name in names),
+    )
+
+
 def _later_windows(window: int):
     """Spans of the windows that an earlier row of their group has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.empty(0, np.int64)
         seen = np.empty(0, np.int64)  # full windows of the group that the last batch ended in
+        last_row = None
         for batch in batches:
+            batch, last_row = _without_repeats(batch, last_row)
             if not batch.num_rows:
                 continue
             half = batch.column("hash").to_numpy()
