@@ -34,7 +34,7 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ABSTAIN, REJECT, KEEP = -1, 0, 1
 
 # Documents of a lower probability of being good go.  Losing a good text costs more than keeping a poor one.
-THRESHOLD = 0.1
+THRESHOLD = 0.02
 
 
 @dataclass(frozen=True)
@@ -175,7 +175,8 @@ def revised(total: float, share: float, sums: list[float]) -> LabelModel:
     """The model that fits the expected counts best.
 
     ``sums`` has four numbers per rule: expected good documents it rejected and kept, and bad
-    ones.  Every rate starts from a belief worth ten documents.  A rule cannot be worse than chance:
+    ones.  Every rate starts from a belief worth ten documents: good texts are hardly ever rejected, and most
+    rules find nothing wrong with a bad one.  A rule cannot be worse than chance:
     where its votes say the opposite of their name they are taken to say nothing, which also
     fixes which of the two kinds is the good one.
     """
@@ -183,12 +184,12 @@ def revised(total: float, share: float, sums: list[float]) -> LabelModel:
     on_good, on_bad = [], []
     for at in range(0, len(sums), 4):
         rejected, kept, caught, missed = sums[at : at + 4]
-        g = [(rejected + 1) / (share + 10), (kept + 6) / (share + 10)]
-        b = [(caught + 4) / (bad + 10), (missed + 3) / (bad + 10)]
+        g = [(rejected + 0.2) / (share + 10), (kept + 7) / (share + 10)]
+        b = [(caught + 4) / (bad + 10), (missed + 5) / (bad + 10)]
         if g[0] > b[0]:
-            g[0] = b[0] = (rejected + caught + 5) / (total + 20)
+            g[0] = b[0] = (rejected + caught + 4.2) / (total + 20)
         if g[1] < b[1]:
-            g[1] = b[1] = (kept + missed + 9) / (total + 20)
+            g[1] = b[1] = (kept + missed + 12) / (total + 20)
         on_good.append(tuple(g))
         on_bad.append(tuple(b))
     return LabelModel((share + 8) / (total + 10), tuple(on_good), tuple(on_bad))
