@@ -13,14 +13,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Six decimal places; the sum of decimal(20,6) has room for 10**10 times the largest value.
-_EXACT = "decimal(20,6)"
+# Places kept of every value.  22 digits before the point are left, and the sum has room for 10**10 values.
+SCALE = 6
 _MEAN = "decimal(38,10)"
 
 
-def decimal_total(column: str) -> Column:
-    """Exact sum of a numeric column (aggregate)."""
-    return F.sum(F.col(column).cast(_EXACT))
+def _odd(column: str) -> Column:
+    """Whether a value is NaN or infinite, which no decimal can be."""
+    value = F.col(column).cast("double")
+    return F.isnan(value) | (F.abs(value) == float("inf"))
+
+
+def decimal_total(column: str, scale: int = SCALE) -> Column:
+    """Exact sum of a numeric column (aggregate), NaN and infinities aside."""
+    exact = F.when(~_odd(column), F.col(column)).cast(f"decimal({22 + scale},{scale})")
+    return F.sum(exact)
 
 
 def exact_mean(total: Column, n: Column, digits: int) -> Column:
@@ -31,10 +38,19 @@ def exact_mean(total: Column, n: Column, digits: int) -> Column:
 
 @dataclass(frozen=True)
 class Average:
-    """A rounded average of one column, over rows or over partial sums."""
+    """A rounded average of one column, over rows or over partial sums.
+
+    Values are taken to ``scale`` decimal places, which has to suit the digits asked for.  A NaN or an infinity
+    makes the average NaN, as it does a plain one; NULL values do not count.
+    """
 
     column: str
     digits: int
+    scale: int = SCALE
+
+    def __post_init__(self) -> None:
+        if not 0 <= self.digits <= self.scale <= 10:
+            raise ValueError("an average needs digits within its scale, and a scale of at most 10")
 
     @property
     def name(self) -> str:
@@ -48,12 +64,24 @@ class Average:
     def _n(self) -> str:
         return f"{self.column}_n"
 
+    @property
+    def _has_odd(self) -> str:
+        return f"{self.column}_odd"
+
+    def _rounded(self, total: Column, n: Column, odd: Column) -> Column:
+        mean = exact_mean(total, n, self.digits)
+        return F.when(odd, float("nan")).otherwise(mean).alias(self.name)
+
     def of_rows(self) -> Column:
-        total, n = decimal_total(self.column), F.count(self.column)
-        return exact_mean(total, n, self.digits).alias(self.name)
+        odd = F.bool_or(_odd(self.column))
+        return self._rounded(decimal_total(self.column, self.scale), F.count(self.column), odd)
 
     def partials(self) -> list[Column]:
-        return [decimal_total(self.column).alias(self._total), F.count(self.column).alias(self._n)]
+        return [
+            decimal_total(self.column, self.scale).alias(self._total),
+            F.count(self.column).alias(self._n),
+            F.bool_or(_odd(self.column)).alias(self._has_odd),
+        ]
 
     def of_partials(self) -> Column:
-        return exact_mean(F.sum(self._total), F.sum(self._n), self.digits).alias(self.name)
+        return self._rounded(F.sum(self._total), F.sum(self._n), F.bool_or(self._has_odd))

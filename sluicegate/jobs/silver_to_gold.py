@@ -21,11 +21,13 @@ def main(argv: list[str] | None = None) -> GoldResult:
     parser.add_argument("--source-count", type=int, help="with the next: adds the quality table")
     parser.add_argument("--quarantined-count", type=int)
     options = parser.parse_args(argv)
+    if (options.source_count is None) != (options.quarantined_count is None):
+        parser.error("--source-count and --quarantined-count go together")
     spark = common.session("silver-to-gold", options)
     run = common.run(options)
     silver = read_table_run(spark, options.silver_table, run)
     counts = None
-    if options.source_count is not None and options.quarantined_count is not None:
+    if options.source_count is not None:
         counts = counts_frame(spark, options.source_count, options.quarantined_count)
     result = silver_to_gold(silver, run, options.gold_root, counts, canonical_brands=True)
     for name, path in result.paths.items():

@@ -7,10 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.plans.record_plan import PRODUCTS, RecordPlan
 from sluicegate.plans.reports import run_metadata
 from sluicegate.run import Run
-from sluicegate.sources import flatten_pages, land_bronze, page_count_columns, read_pages, write_run
+from sluicegate.sources import land_lines, page_count_columns, page_lines, read_pages, write_run
 
 
 def land_pages(
@@ -24,12 +23,12 @@ def land_pages(
     category: str,
     page_size: int,
     pages_requested: int | None = None,
-    plan: RecordPlan = PRODUCTS,
     multi_line: bool = True,
 ) -> DataFrame:
     """Flatten fetched pages, land their records and return the run's metadata row.
 
-    Pages and records are counted while they are written.  Nothing is shuffled on the
+    Records are landed in their own text, so what no schema names yet is kept; they get types when they
+    are read.  Pages and records are counted while they are written.  Nothing is shuffled on the
     way, and Spark counts each finished output partition once even if its task is
     repeated, so the counts are exact.
     """
@@ -37,9 +36,9 @@ def land_pages(
     of_pages, of_records = Observation("pages"), Observation("records")
     pages = read_pages(spark, pages_path, multi_line=multi_line)
     pages = pages.observe(of_pages, *page_count_columns())
-    records = flatten_pages(pages, plan.bronze)
-    records = records.observe(of_records, F.count("*").alias("record_count"))
-    path = land_bronze(records, bronze_root, run)
+    lines = page_lines(pages)
+    lines = lines.observe(of_records, F.count("*").alias("record_count"))
+    path = land_lines(lines, bronze_root, run)
 
     counts = {**of_pages.get, **of_records.get}
     metadata = run_metadata(

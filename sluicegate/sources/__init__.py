@@ -5,16 +5,19 @@ from sluicegate.sources.json_records import (
     flatten_pages,
     page_count_columns,
     page_counts,
+    page_lines,
     read_json,
     read_pages,
 )
-from sluicegate.sources.run_tables import land_bronze, read_run, write_run, write_runs
+from sluicegate.sources.run_tables import land_bronze, land_lines, read_run, write_run, write_runs
 
 __all__ = [
     "flatten_pages",
     "land_bronze",
+    "land_lines",
     "page_count_columns",
     "page_counts",
+    "page_lines",
     "read_json",
     "read_pages",
     "read_run",

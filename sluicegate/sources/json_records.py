@@ -40,40 +40,45 @@ def read_pages(
     envelope: str = "products",
     multi_line: bool = True,
 ) -> DataFrame:
-    """Response pages, each an object that holds its records under ``envelope``.
+    """Response pages, each an object that holds a list of records under ``envelope``.
 
-    The records stay raw JSON text here.  A page that is not JSON fails the read: unlike
-    a bad field, it would lose a whole page of records.
+    The records stay JSON text, as the file has it.  A page without the envelope (or with a null one)
+    has no records.  A page that is not JSON, whose envelope is not a list, or that is a list itself
+    fails the read: unlike a bad field, it would lose a whole page of records.
     """
-    schema = T.StructType([T.StructField(envelope, T.StringType())])
-    return (
-        spark.read.schema(schema)
+    kind = T.ArrayType(T.StringType())
+    pages = (
+        spark.read.schema(T.StructType([T.StructField(envelope, kind)]))
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .json(path)
         .select(F.col(f"`{envelope}`").alias(_ENVELOPE))
     )
+    # The reader takes the elements of a root list for pages without an envelope.
+    is_list = F.col("value").rlike(r"^\s*\[")
+    refused = F.raise_error(F.lit("a page did not contain a list of records, it is one"))
+    roots = spark.read.text(path, wholetext=multi_line)
+    none = roots.where(F.when(is_list, refused.cast("boolean")).otherwise(F.lit(False)))
+    return pages.unionAll(none.select(F.lit(None).cast(kind).alias(_ENVELOPE)))
 
 
-def flatten_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per record of all pages.
+def page_lines(pages: DataFrame) -> DataFrame:
+    """The records of all pages as JSON lines (``value``), each in its own text.
 
-    A page without the envelope (or with a null one) has no records; one whose envelope
-    is not a list is an error.  Typed as an array it would read as NULL, the same as a
-    missing one, which is why the text is checked first.
+    A null element is an empty object and one that is no object a list of it, so that every element
+    is a line and reads as a row.
     """
-    raw = F.col(_ENVELOPE)
-    checked = F.when(raw.isNull() | raw.startswith("["), raw).otherwise(
-        F.raise_error(F.lit("a page did not contain a list of records"))
-    )
-    texts = T.ArrayType(T.StringType())
-    # A list with an element that is no object does not parse as a list of objects.
-    # Then each element is parsed alone, and only that one becomes an all-NULL row.
-    records = F.coalesce(
-        F.from_json(checked, T.ArrayType(schema)),
-        F.transform(F.from_json(checked, texts), lambda text: F.from_json(text, schema)),
+    element = F.explode(_ENVELOPE).alias("value")
+    text = F.col("value")
+    line = F.when(text.isNull(), "{}").when(F.ltrim(text).startswith("{"), text)
+    return pages.select(element).select(line.otherwise(F.to_json(F.array(text))).alias("value"))
+
+
+def flatten_pages(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """One typed row per record of all pages; an element that is no object is an all-NULL row."""
+    return pages.select(F.explode(_ENVELOPE).alias("record")).select(
+        F.inline(F.array(F.coalesce(F.from_json("record", schema), F.from_json(F.lit("{}"), schema))))
     )
-    return pages.select(F.inline(records))
 
 
 def page_count_columns() -> list[Column]:

@@ -58,7 +58,7 @@ def write_runs(tables: Mapping[str, DataFrame], run: Run) -> dict[str, int]:
 
 
 def land_bronze(records: DataFrame, root: str, run: Run) -> str:
-    """Land raw records as JSON, one per line, under their ingestion date and run.
+    """Land typed records as JSON, one per line, under their ingestion date and run.
 
     Lines make the landed data splittable, and landing before any transformation lets a
     run be repeated without asking the source again.
@@ -66,3 +66,10 @@ def land_bronze(records: DataFrame, root: str, run: Run) -> str:
     path = run.directory(root, "ingestion_date")
     records.write.mode("overwrite").json(path)
     return path
+
+
+def land_lines(lines: DataFrame, root: str, run: Run) -> str:
+    """Land JSON lines as they are: fields and values that no schema names are kept."""
+    path = run.directory(root, "ingestion_date")
+    lines.write.mode("overwrite").text(path)
+    return path

@@ -6,7 +6,14 @@ import pytest
 from pyspark.errors import PySparkException
 
 from sluicegate.plans import PRODUCTS, validate
-from sluicegate.sources import flatten_pages, page_counts, read_json, read_pages
+from sluicegate.sources import (
+    flatten_pages,
+    land_lines,
+    page_counts,
+    page_lines,
+    read_json,
+    read_pages,
+)
 from tests.conftest import record
 
 
@@ -94,10 +101,34 @@ def test_one_bad_element_costs_only_itself(spark, write, run):
 @pytest.mark.parametrize("envelope", ['{"a": 1}', "5", '"text"'])
 def test_an_envelope_that_is_no_list_is_an_error(spark, write, envelope):
     pages = read_pages(spark, write("page.json", f'{{"products": {envelope}}}'))
-    with pytest.raises(PySparkException, match="did not contain a list"):
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
         flatten_pages(pages, PRODUCTS.bronze).collect()
 
 
+def test_a_text_that_looks_like_a_list_is_none(spark, write):
+    page = '{"products": "[{\\"code\\":\\"1\\"}]"}'
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+        read_pages(spark, write("page.json", page)).collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_page_that_is_a_list_is_an_error(spark, write, multi_line):
+    path = write("page.json", '[{"code": "1"}, {"code": "2"}]')
+    with pytest.raises(PySparkException, match="did not contain a list"):
+        read_pages(spark, path, multi_line=multi_line).collect()
+
+
+def test_lines_keep_what_no_schema_names(spark, write, tmp_path, run):
+    element = {"code": "1", "product_name": "a", "extra": "keepme", "nutriments": {"fat_100g": "35.0", "fiber_100g": 3.0}}
+    page = json.dumps({"products": [element, None, "two\nlines", 7]}).replace("3.0}", "1.10}")
+    lines = page_lines(read_pages(spark, write("page.json", page)))
+    landed = land_lines(lines, str(tmp_path / "bronze"), run)
+    texts = [r.value for r in spark.read.text(landed).collect()]
+    assert json.loads(texts[0]) == {**element, "nutriments": {"fat_100g": "35.0", "fiber_100g": 1.1}}
+    assert "1.10" in texts[0] and texts[1:] == ["{}", '["two\\nlines"]', '["7"]']
+    rows = read_json(spark, landed, PRODUCTS.bronze, multi_line=False).collect()
+    assert [r.code for r in rows] == ["1", None, None, None]
+
 def test_a_page_that_is_not_json_is_an_error(spark, write):
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         read_pages(spark, write("page.json", '{"products": [{"co')).collect()

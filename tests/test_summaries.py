@@ -189,6 +189,27 @@ def test_an_average_ignores_the_order_of_its_rows(spark):
     assert means == {_half_up(values, 4)}
 
 
+@pytest.mark.parametrize(
+    ("values", "average", "expected"),
+    [
+        ([float("nan"), 1.0], Average("x", 4), "nan"),
+        ([float("inf"), 1.0, None], Average("x", 4), "nan"),
+        ([1e15, 1e15, None], Average("x", 4), "1000000000000000.0"),
+        ([4e-7] * 3, Average("x", 7, scale=8), "4e-07"),
+        ([None], Average("x", 2), "None"),
+    ],
+)
+def test_averages_of_extreme_values(spark, values, average, expected):
+    frame = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "g int, x double")
+    assert str(frame.agg(average.of_rows()).first()[0]) == expected
+    assert str(frame.groupBy("g").agg(*average.partials()).agg(average.of_partials()).first()[0]) == expected
+
+
+def test_an_average_needs_its_digits_within_its_scale():
+    with pytest.raises(ValueError, match="scale"):
+        Average("x", 7)
+
+
 def test_breakdown_counts_exact_combinations(spark):
     rows = spark.createDataFrame([("a",), ("a; b",), ("a",)], "rejection_reason string")
     assert _found(reason_breakdown(rows)) == {"a": (2,), "a; b": (1,)}
