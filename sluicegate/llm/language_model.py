@@ -247,11 +247,11 @@ class Model:
             arrays = _mapped(self.file("pairs", shard))
             held = Level(arrays)
             context = own[part] - self.word_starts[shard]
-            at = held.find(context, word[part])
+            at, begin = held.find(context, word[part])
             hit = at >= 0
             goal = slice(first + part.start, first + part.stop)
             place[goal] = np.where(hit, at + self.pair_starts[shard], -1)
-            rank[goal] = np.where(hit, at - held.pointers[context], -1)
+            rank[goal] = np.where(hit, at - begin, -1)
             chance[goal] = np.where(hit, arrays["chances"][arrays["chance"][np.maximum(at, 0)]], 0)
             back[goal] = arrays["backs"][arrays["back"][context]]
         return place[inverse], rank[inverse], chance[inverse], back[inverse]
@@ -269,7 +269,7 @@ class Model:
                 continue
             arrays = _mapped(self.file("triples", shard))
             context = own[part] - self.pair_starts[shard]
-            at = Level(arrays).find(context, word[part])
+            at, _ = Level(arrays).find(context, word[part])
             goal = slice(first + part.start, first + part.stop)
             hits[goal] = at >= 0
             chance[goal] = np.where(at >= 0, arrays["chances"][arrays["chance"][np.maximum(at, 0)]], 0)
@@ -283,7 +283,8 @@ class Model:
         own = words[order]
         for shard, part in self._each(np.searchsorted(self.word_starts, own, "right") - 1):
             arrays = _mapped(self.file("pairs", shard))
-            at = Level(arrays).pointers[own[part] - self.word_starts[shard]] + rank[order[part]]
+            held, which = np.unique(own[part] - self.word_starts[shard], return_inverse=True)
+            at = Level(arrays).pointers[held][which] + rank[order[part]]
             found[order[part]] = arrays["chances"][arrays["chance"][at]]
         return found
 

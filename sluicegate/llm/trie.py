@@ -1,7 +1,7 @@
 """A compact n-gram trie in flat arrays, made to be memory-mapped.
 
 Values that only grow are held in Elias-Fano form: their low bits in a packed array and their high bits as gaps in
-unary, with the place of every 64th mark.  A level of the trie has, for each n-gram in order of its
+unary, with the place of every 32nd mark.  A level of the trie has, for each n-gram in order of its
 context, the number of its last word, and a probability and a back-off weight as one-byte codes into a
 table of quantised logarithms.  Pointers say where each context's successors begin; they only
 grow.  The numbers of words grow within a context, and summed with the base of their context they grow
@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import numpy as np
 
-SAMPLE = 64
+SAMPLE = 32
 _SELECT = np.zeros((256, 8), np.uint8)
 for _byte in range(256):
     _bits = [i for i in range(8) if _byte >> i & 1]
     _SELECT[_byte, : len(_bits)] = _bits
-_COUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+_EACH = np.uint64(0x0101010101010101)
+_TOPS = np.uint64(0x8080808080808080)
 
 
 class EliasFano:
@@ -49,7 +51,7 @@ class EliasFano:
         return {
             f"{name}.head": np.array([size, low_bits], np.int64),
             f"{name}.low": np.packbits(bits, bitorder="little").view(np.uint64),
-            f"{name}.high": np.packbits(high, bitorder="little"),
+            f"{name}.high": np.packbits(high, bitorder="little").view(np.uint64),
             f"{name}.marks": place[::SAMPLE].astype(np.int64),
         }
 
@@ -67,22 +69,29 @@ class EliasFano:
         return value.astype(np.int64)
 
     def _select(self, at: np.ndarray) -> np.ndarray:
-        """Where the mark of each number stands."""
+        """Where the mark of each number stands: from its sample word by word, then within the word."""
         start = self.marks[at // SAMPLE]
-        left = (at % SAMPLE).astype(np.int16)
-        byte = start >> 3
-        value = self.high[byte] & (np.uint8(0xFF) << (start & 7).astype(np.uint8))
-        result = np.empty(len(at), np.int64)
-        who = np.arange(len(at))
-        while len(who):
-            ones = _COUNT[value]
-            here = ones > left
-            done = who[here]
-            result[done] = byte[here] * 8 + _SELECT[value[here], left[here]]
-            on = ~here
-            who, byte, left = who[on], byte[on] + 1, left[on] - ones[on]
-            value = self.high[byte] if len(who) else value[:0]
-        return result
+        left = (at % SAMPLE).astype(np.uint64)
+        word = start >> 6
+        value = self.high[word] & (_ALL << (start & 63).astype(np.uint64))
+        ones = np.bitwise_count(value)
+        behind = np.flatnonzero(ones <= left)
+        while len(behind):
+            left[behind] -= ones[behind]
+            word[behind] += 1
+            value[behind] = self.high[word[behind]]
+            ones[behind] = np.bitwise_count(value[behind])
+            behind = behind[ones[behind] <= left[behind]]
+        # Marks up to and with each byte, in the bytes of a number; those not above ``left`` are passed.
+        sums = value - ((value >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        pairs = np.uint64(0x3333333333333333)
+        sums = (sums & pairs) + ((sums >> np.uint64(2)) & pairs)
+        sums = ((sums + (sums >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+        passed = np.bitwise_count(((left * _EACH) | _TOPS) - sums & _TOPS).astype(np.uint64)
+        shift = passed << np.uint64(3)
+        before = ((sums << np.uint64(8)) >> shift) & np.uint64(0xFF)
+        byte = (value >> shift) & np.uint64(0xFF)
+        return word * 64 + (shift + _SELECT[byte, left - before]).astype(np.int64)
 
 
 def pack(arrays: dict[str, np.ndarray]) -> bytes:
@@ -101,6 +110,7 @@ def pack(arrays: dict[str, np.ndarray]) -> bytes:
 
 def unpack(data: np.ndarray) -> dict[str, np.ndarray]:
     """The arrays of a file, as views of it."""
+    data = data.view(np.ndarray)  # a mapped array is slower to index than a plain view of it
     length = int.from_bytes(bytes(data[:8]), "little")
     found = {}
     for line in bytes(data[8 : 8 + length]).decode().split("\n"):
@@ -140,18 +150,24 @@ class Level:
         self.pointers = EliasFano(arrays, "pointers")
         self.words = EliasFano(arrays, "words")
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The place of each (context, word), or -1; contexts below zero have no successors."""
-        result = np.full(len(context), -1, np.int64)
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each (context, word), or -1, and where the context's successors begin.
+
+        Contexts below zero have no successors.
+        """
+        result, begin = np.full(len(context), -1, np.int64), np.zeros(len(context), np.int64)
         who = np.flatnonzero(context >= 0)
         if not len(who) or not self.words.size:
-            return result
-        own = context[who]
-        low, high = self.pointers[own], self.pointers[own + 1]
+            return result, begin
+        # A context's own figures are looked up once, as a frequent one lies behind a long gap.
+        own, which = np.unique(context[who], return_inverse=True)
+        lows, highs = self.pointers[own], self.pointers[own + 1]
+        bases = np.where(lows > 0, self.words[np.maximum(lows - 1, 0)] + 1, 0)
+        low, high, base = lows[which], highs[which], bases[which]
+        begin[who] = low
         have = high > low
-        who, low, high = who[have], low[have], high[have]
+        who, low, high, base = who[have], low[have], high[have], base[have]
         # A context's numbers are relative to the last value of the contexts before it.
-        base = np.where(low > 0, self.words[np.maximum(low - 1, 0)] + 1, 0)
         wanted = word[who] + base
         first, last = low.copy(), high - 1
         active = np.arange(len(who))
@@ -164,7 +180,7 @@ class Level:
         hit = first < high
         hit[hit] = self.words[first[hit]] == wanted[hit]
         result[who[hit]] = first[hit]
-        return result
+        return result, begin
 
     def words_at(self, places: np.ndarray) -> np.ndarray:
         """The word of the n-gram at each place."""

@@ -258,7 +258,7 @@ def test_elias_fano_and_levels():
     context, word = random_.integers(-1, 300, 5000), random_.integers(0, 50, 5000)
     place = {int(p): i for i, p in enumerate(pairs)}
     expected = [place.get(int(c * 50 + w), -1) if c >= 0 else -1 for c, w in zip(context, word, strict=True)]
-    assert held.find(context, word).tolist() == expected
+    assert held.find(context, word)[0].tolist() == expected
     assert held.words_at(np.arange(len(pairs))).tolist() == (pairs % 50).tolist()
 
 
