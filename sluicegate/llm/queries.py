@@ -123,5 +123,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+OP2_SQL = r"""
+WITH split AS (
+  SELECT doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS i FROM split
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY words[i:i + 19] ORDER BY doc_id, i) AS place FROM starts
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS i FROM ranked WHERE place > 1
+), each_word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM split
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM each_word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express on whole tables.
+
+    The others go through methods it has no terms for (training, walks, trees, suffix order, token
+    ids), so tests/llm compares them with plain Python.
+    """
+    return {"op2_substrings": OP2_SQL}
