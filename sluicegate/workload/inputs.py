@@ -1,37 +1,26 @@
 """Input frames derived from the test tables.
 
 The tables hold no nulls or faults that suit the quality rules, so raw product records
-are derived from line items and parts.  The join only prepares input.
+are derived from line items and parts.  The join only prepares input.  Every query derives them anew, so it
+reads the tables as they are, and its time holds that work.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.session import shared_scratch
-
 # Columns that trace a derived record back to its line item.
 TRACE = ("l_orderkey", "l_linenumber", "l_partkey")
 _POSITION = ("source_file", "source_row")
 
 RECORDS_PER_PAGE = 100
 
-# Where this application has landed the records of a table folder.
-_landed: dict[tuple[str, str], str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """Use all cores on input that comes in fewer pieces; larger input stays as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def epoch_seconds(moment: Column) -> Column:
     """Seconds since 1970 of a zone-free timestamp, whatever the session time zone."""
     days = F.unix_date(moment.cast("date")).cast("long")
@@ -49,9 +38,7 @@ def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.row_index").alias("source_row"),
     )
-    joined = _spread(items).join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
+    joined = items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
     k = order * 7 + line
@@ -94,27 +81,9 @@ def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived records as a table, written once per application.
-
-    Queries then start from a stored bronze table, as they do in use, instead of each
-    repeating the derivation.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _landed:
-        try:
-            return spark.read.parquet(_landed[key])
-        except AnalysisException:  # the shared folder was cleaned
-            del _landed[key]
-    path = shared_scratch(spark, "products")
-    _derived_products(spark, sf_dir).write.parquet(path)
-    _landed[key] = path
-    return spark.read.parquet(path)
-
-
 def traced_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product records with their trace columns."""
-    return _landed_products(spark, sf_dir).drop(*_POSITION)
+    return _derived_products(spark, sf_dir).drop(*_POSITION)
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +97,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     A page is a run of neighbouring rows of one source file.  Pages are thus bounded
     whatever the keys look like, and a repeated task puts each record on the same page.
     """
-    records = _landed_products(spark, sf_dir).drop(*TRACE)
+    records = _derived_products(spark, sf_dir).drop(*TRACE)
     page_no = F.floor(F.col("source_row") / RECORDS_PER_PAGE)
     names = [c for c in records.columns if c not in _POSITION]
     return (
