@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicegate.llm.frames import Chunk, chunks, lowered, mix, word_hashes
 
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 4000
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
@@ -181,16 +182,18 @@ def train(bags: Bags, seed: int = 7) -> Model:
     return kept
 
 
-def bags_of(rows: list[tuple[list[int], list[int], int]]) -> Bags:
-    sizes = [len(buckets) for buckets, _, _ in rows]
-    empty = np.empty(0, np.int64)
-    shares = [np.asarray(c, float) / max(1, np.sum(c)) for _, c, _ in rows]
-    return Bags(
-        np.concatenate([empty, *[np.asarray(b, np.int64) for b, _, _ in rows]]),
-        np.concatenate([empty.astype(float), *shares]),
-        np.concatenate(([0], np.cumsum(sizes))).astype(np.int64),
-        np.array([label for _, _, label in rows], np.int64),
-    )
+def bags_of(rows: pa.Table) -> Bags:
+    """Bags from the columns ``label``, ``buckets`` and ``counts``."""
+    rows = rows.combine_chunks()
+    buckets, counts = rows["buckets"].combine_chunks(), rows["counts"].combine_chunks()
+    starts = buckets.offsets.to_numpy().astype(np.int64)
+    shares = counts.flatten().to_numpy().astype(np.float32)
+    sizes = np.diff(starts)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    total = np.bincount(owner, shares, len(sizes))
+    shares /= np.maximum(total, 1)[owner].astype(np.float32)
+    labels = rows["label"].to_numpy().astype(np.int64)
+    return Bags(buckets.flatten().to_numpy(), shares, starts - starts[0], labels)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +210,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(0)[chunk.rows],
                     pa.ListArray.from_arrays(offsets, pa.array(keys % BUCKETS, pa.int32())),
                     pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
+                    batch.column(2)[chunk.rows],
                 ],
-                ["label", "buckets", "counts"],
+                ["label", "buckets", "counts", "place"],
             )
 
 
@@ -236,20 +240,12 @@ def fit(
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     rows = (
         texts.join(F.broadcast(sample), "id")
-        .select("label", "text")
-        .mapInArrow(_counted, "label int, buckets array<int>, counts array<int>")
+        .select("label", "text", F.xxhash64("id", "text").alias("place"))
+        .mapInArrow(_counted, "label int, buckets array<int>, counts array<int>, place long")
         .toArrow()
     )
-    found = sorted(
-        zip(
-            rows["buckets"].to_numpy(zero_copy_only=False),
-            rows["counts"].to_numpy(zero_copy_only=False),
-            rows["label"].to_pylist(),
-            strict=True,
-        ),
-        key=lambda row: (row[2], len(row[0]), bytes(row[0].data[:64]), bytes(row[1].data[:64])),
-    )
-    return train(bags_of(found))
+    # An order that does not depend on which task came first.
+    return train(bags_of(rows.take(pa.compute.sort_indices(rows["place"]))))
 
 
 def score(
