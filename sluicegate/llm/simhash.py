@@ -27,9 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.llm.frames import stored
+from sluicegate.llm.frames import chunks, lowered, mix, span_hashes, stored, word_hashes
 
 HASH_SEED = 42
+# Bits of 128 within which a pair is compared by its shingles.  At a Jaccard similarity of 0.8 the distance is 19.4 on
+# average with a deviation of 4.1; unrelated texts lie 64 apart with one of 5.7.
+COMPARED_BITS = 32
+# Texts of one side of a block of pairs.
+PAIR_POINTS = 32768
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 # Points of the sample the shards are fitted on, and points wanted in a shard.
 SAMPLE_POINTS = 4096
 SHARD_POINTS = 8192
@@ -271,3 +277,158 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def _shingle_sets(shingle: int, sets: bool):
+    """Key of the set of shingles, and either the set or its 128-bit SimHash, of every text."""
+
+    def halves(hashes: np.ndarray) -> int:
+        bits = np.zeros(64, np.int64)
+        for low in range(0, len(hashes), _BLOCK):
+            rows = hashes[low : low + _BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
+            bits += np.unpackbits(rows, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<i8")[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                data = lowered(chunk.data)
+                begin, end, first = chunk.words()
+                codes = word_hashes(data, begin, end)
+                found = []
+                for low, high in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    width = min(shingle, high - low)
+                    at = np.arange(low, high - width + 1 if width else low)
+                    found.append(np.unique(span_hashes(codes[low:high], at - low, at - low + width)))
+                keys = [np.uint64(xxhash.xxh64_intdigest(x.tobytes(), HASH_SEED)) for x in found]
+                ids = batch.column("id").slice(chunk.rows.start, len(found))
+                arrays, names = [ids, pa.array(np.array(keys, np.uint64).view(np.int64))], ["id", "key"]
+                if sets:
+                    arrays.append(pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())))
+                    names.append("shingles")
+                else:
+                    arrays += [
+                        pa.array([halves(x) for x in found], pa.int64()),
+                        pa.array([halves(mix(x ^ _SECOND)) for x in found], pa.int64()),
+                    ]
+                    names += ["fp", "fp2"]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return run
+
+
+def _close_pairs(points: DataFrame, blocks: int, radius: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of keys, a > b, of different components at most ``radius`` of 128 bits apart.
+
+    With ``nearest`` each key has only its closest smaller one, so a dense group costs a row a key.  Every pair of
+    blocks is compared by one task: at this radius no tree of the Hamming space prunes.
+    """
+
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        key, root, block = (rows[c].to_numpy() for c in ("key", "root", "block"))
+        one, two = (rows[c].to_numpy().copy().view(np.uint64) for c in ("fp", "fp2"))
+        left = np.flatnonzero(block == block.min())
+        right = np.flatnonzero(block == block.max())
+        best = np.full(len(key), 255, np.int64)
+        other = np.zeros(len(key), np.int64)
+        pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        step = max(1, 2 * _BLOCK // len(right))
+        for low in range(0, len(left), step):
+            some = left[low : low + step]
+            away = np.bitwise_count(one[some][:, None] ^ one[right]) + np.bitwise_count(two[some][:, None] ^ two[right])
+            i, j = np.nonzero(away <= radius)
+            away, i, j = away[i, j].astype(np.int64), some[i], right[j]
+            apart = root[i] != root[j]
+            if left[0] == right[0]:
+                apart &= key[i] > key[j]
+            away, i, j = away[apart], i[apart], j[apart]
+            a, b = np.where(key[i] > key[j], i, j), np.where(key[i] > key[j], j, i)
+            if not nearest:
+                pairs.append((key[a], key[b], away))
+            elif len(a):
+                order = np.lexsort((key[b], away, a))
+                a, b, away = a[order], b[order], away[order]
+                first = np.append(True, a[1:] != a[:-1])
+                a, b, away = a[first], b[first], away[first]
+                closer = away < best[a]
+                best[a[closer]], other[a[closer]] = away[closer], key[b[closer]]
+        if nearest:
+            have = best < 255
+            pairs = [(key[have], other[have], best[have])]
+        a, b, away = (np.concatenate([p[k] for p in pairs]) if pairs else np.empty(0, np.int64) for k in range(3))
+        return pd.DataFrame({"a": a, "b": b, "away": away})
+
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
+    dealt = (
+        points.select("key", "fp", "fp2", "root", block.alias("block"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        .withColumn("cell", F.least("block", "with") * blocks + F.greatest("block", "with"))
+        .drop("with")
+    )
+    found = dealt.groupBy("cell").applyInPandas(search, "a long, b long, away long")
+    if nearest:
+        found = found.groupBy("a").agg(F.min(F.struct("away", "b")).alias("n")).select("a", F.col("n.b").alias("b"))
+    return found.select("a", "b")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs whose sets of shingles have at least this Jaccard similarity."""
+    kind = texts.schema["id"].dataType.simpleString()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = (
+        texts.mapInArrow(_shingle_sets(shingle, True), f"id {kind}, key long, shingles array<long>")
+        .drop("id")
+        .join(wanted, "key", "left_semi")
+        .dropDuplicates(["key"])
+    )
+    sets = stored(sets, "shingle-sets")
+    shared = F.size(F.array_intersect("x", "y"))
+    return (
+        pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+        .where(shared >= F.lit(least) * (F.size("x") + F.size("y") - shared) - F.lit(1e-9))
+        .select("a", "b")
+    )
+
+
+def similar_texts(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    *,
+    shingle: int = 5,
+    least: float = 0.8,
+    radius: int = COMPARED_BITS,
+    pair_points: int = PAIR_POINTS,
+) -> DataFrame:
+    """One row per document: id and the smallest id of its component of similar texts.
+
+    Two texts link if their sets of shingles have a Jaccard similarity of at least ``least``.  Candidates lie within
+    ``radius`` bits of 128-bit SimHashes; each is verified by its sets.  Texts of equal sets are one point.  First every
+    point is compared with its closest one, then all candidates that these links leave in different components.
+    """
+    kind = docs.schema[id_column].dataType.simpleString()
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    prints = stored(
+        texts.mapInArrow(_shingle_sets(shingle, False), f"id {kind}, key long, fp long, fp2 long"), "shingle-prints"
+    )
+    points = stored(
+        prints.groupBy("key").agg(F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")),
+        "shingle-points",
+    )
+    blocks = max(1, -(-points.count() // pair_points))
+    links, roots = None, points.select("key", F.col("key").alias("root"))
+    for nearest in (True, False):
+        placed = points.join(roots, "key")
+        pairs = stored(_close_pairs(placed, blocks, radius, nearest), "close-pairs")
+        found = stored(_verified(pairs, texts, shingle, least), "similar-pairs")
+        links = found if links is None else links.union(found)
+        joined = components(links).withColumnRenamed("v", "key")
+        roots = stored(
+            points.select("key").join(joined, "key", "left").select("key", F.coalesce("root", "key").alias("root")),
+            "similar-roots",
+        )
+    placed = points.select("key", "least").join(roots, "key")
+    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_key = placed.join(named, "root").select("key", "component_id")
+    return prints.select("id", "key").join(of_key, "key").select(F.col("id").alias(id_column), "component_id")

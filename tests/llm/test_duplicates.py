@@ -94,6 +94,38 @@ def test_components_of_paths_and_stars(spark):
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("pair_points", [1 << 15, 40])
+def test_near_dedup_links_all_similar_texts(spark, pair_points):
+    """Components of the pairs with a 5-word Jaccard similarity of 0.8, by brute force."""
+    r = random.Random(21)
+    rows = [(i, prose(r, r.randint(50, 200))) for i in range(20)]
+    for i, text in rows[:20]:
+        for k in range(1, 7):
+            words = text.split()
+            for _ in range(r.randint(1, max(2, len(words) // 30))):
+                words[r.randrange(len(words))] = f"edit{r.randrange(10**6)}"
+            rows.append((100 * k + i, " ".join(words)))
+    rows += [(5000, ""), (5001, None), (5002, "a b"), (5003, "A  b"), (None, rows[3][1]), rows[4]]
+
+    def grams(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    sets, root = [grams(text) for _, text in rows], np.arange(len(rows))
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    root = simhash._roots(simhash._unite(root, *np.array(pairs).T)).tolist()
+    least = {}
+    for (key, _), at in zip(rows, root, strict=True):
+        if key is not None:
+            least[at] = min(key, least.get(at, key))
+    assert len(set(root)) < len(rows) - 40
+    found = simhash.similar_texts(frame(spark, rows), pair_points=pair_points)
+    same_rows(found, [(key, least[at]) for (key, _), at in zip(rows, root, strict=True)])
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    assert {x.doc_id for x in kept.collect()} - {None} == set(least.values())
+
+
 def plain_windows(rows, window):
     """Kept words; null ids first, rows equal in id and text are one document."""
     order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, np.int64(np.uint64(xxhash.xxh64_intdigest((r[1] or "").encode(), 42)))))
