@@ -2,7 +2,8 @@
 
 Markup is stripped to lines: every block element begins one, and what is never text (scripts, styles,
 comments, the head, forms) goes.  A line weighs as many characters as it has outside links; lines
-in containers that are boilerplate by their element or by the words of their class weigh nothing, and
+in containers that are boilerplate by their element or by a class that is or ends in one of a list of words weigh nothing
+(unless such a class holds the page's only article, or its only text), and
 so do lines outside the article where the page marks one.  Summed over a sliding window of lines the weights surge
 where the text begins and dive to nothing where it ends; lines with weight between
 a surge and the next dive are the text.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +38,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CELLS = frozenset(("td", "th"))
+# Elements whose close is not left out; one that opened before a dropped element ends it.
+CLOSING = (BLOCKS | {"html", "a"}) - {"p", "br", "hr"}
 ARTICLE = frozenset(("article", "main"))
 BOILERPLATE = frozenset(("nav", "header", "footer", "aside", "form", "menu", "dialog"))
 # Inside an article its header holds the title.
@@ -59,6 +63,10 @@ _TAG = re.compile(
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:\s|^)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
+# First words of a class that tells what a page's layout has or lacks ("no-sidebar").
+LAYOUT_WORDS = frozenset("no not without with has hide".split())
+# Elements whose content is no markup.
+RAW = frozenset("script style textarea title iframe".split())
 _SPACE = re.compile(r"\s+")
 
 
@@ -86,34 +94,56 @@ class _Lines:
         self._parts, self._linked, self._state = [], 0, state
 
 
-def _is_boilerplate(name: str, attributes: str, article: bool) -> bool:
+def _names_boilerplate(value: str) -> bool:
+    """Whether a class is one of the words, or ends in one that it does not use to tell the layout."""
+    for token in value.lower().split():
+        words = _WORD.findall(token)
+        if words and words[-1] in BOILERPLATE_WORDS and not (len(words) > 1 and words[0] in LAYOUT_WORDS):
+            return True
+    return False
+
+
+def _is_boilerplate(name: str, attributes: str, article: bool, named: bool) -> bool:
     if name in BOILERPLATE:
         return not (article and name in NOT_IN_ARTICLE)
     if not attributes or name in ("html", "body"):
         return False
     if _HIDDEN.search(attributes):
         return True
-    for found in _NAMING.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if not BOILERPLATE_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+    return named and any(
+        _names_boilerplate(found[1] or found[2] or found[3] or "") for found in _NAMING.finditer(attributes)
+    )
+
 
+def lines_of(page: str, named: bool = True, lift: bool = False) -> list[tuple[str, int, bool]]:
+    """Strip a page's markup to its lines.
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Strip a page's markup to its lines."""
+    ``named`` says whether classes tell boilerplate, ``lift`` whether an article in such an element ends it.
+    """
     lines = _Lines()
     at = 0
     links = articles = 0
     # The element that holds boilerplate, and how many of its name are open within it.
-    outer, depth = "", 0
-    skip_to = ""
+    outer, depth, by_name = "", 0, False
+    skip_to, inside = "", Counter()
     for tag in _TAG.finditer(page):
         if skip_to:
-            if not (tag[0].startswith("</") and (tag[2] or tag[5] or "").lower() == skip_to):
+            name = (tag[2] or tag[5] or "").lower()
+            if not tag[0].startswith("</"):
+                # A body ends a head that is not closed.
+                if not (skip_to == "head" and name == "body"):
+                    inside[name] += name not in VOID and not tag[0].endswith("/>")
+                    continue
+                at = tag.start()
+            elif name == skip_to and (skip_to in RAW or not inside[name]):
+                skip_to, at = "", tag.end()
                 continue
-            skip_to, at = "", tag.end()
-            continue
+            elif skip_to in RAW or name not in CLOSING or inside[name]:
+                inside[name] -= inside[name] > 0
+                continue
+            else:  # The parent's close ends an element that is not closed.
+                at = tag.start()
+            skip_to = ""
         if tag.start() < at:
             continue
         if tag.start() > at:
@@ -126,7 +156,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         attributes = (tag[3] if tag[2] else tag[6]) or ""
         if name in DROPPED and not closing:
             if not attributes.endswith("/"):
-                skip_to = name
+                skip_to, inside = name, Counter()
             continue
         if name == "a":
             links = 0 if closing else 1
@@ -140,10 +170,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             elif outer and name in ARTICLE and not depth:
                 outer = ""
         elif name not in VOID:
+            if outer and lift and by_name and name in ARTICLE:
+                outer, depth = "", 0
             if outer:
                 depth += name == outer
-            elif _is_boilerplate(name, attributes, articles > 0):
+            elif _is_boilerplate(name, attributes, articles > 0, named):
                 outer, depth = name, 1
+                by_name = name not in BOILERPLATE and not _HIDDEN.search(attributes)
             if name in ARTICLE:
                 articles += 1
         if name in BLOCKS:
@@ -160,6 +193,15 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     """The main text of a page, one block a line."""
     rows = lines_of(page or "")
     marked = any(article and weight for _, weight, article in rows)
+    if not marked:
+        # Classes do not close over the page's own article, nor over its only text that surges.
+        lifted = lines_of(page or "", lift=True)
+        if any(article and weight for _, weight, article in lifted):
+            rows, marked = lifted, True
+        elif sum(weight for _, weight, _ in rows) < surge:
+            whole = lines_of(page or "", named=False)
+            if sum(weight for _, weight, _ in whole) >= surge:
+                rows = whole
     weights = [0 if marked and not article else weight for _, weight, article in rows]
     if not any(weights):
         return ""

@@ -191,6 +191,31 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0 and html_text.extract(pages).count() == 4
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content-sidebar-wrap"><main><p>{}</p></main></div>',
+        '<div class="sidebar"><main><p>{}</p></main></div>',
+        '<div class="main no-sidebar"><p>{}</p></div>',
+        '<div id="search-results"><p>{}</p></div>',
+        '<div class="legal-article"><p>{}</p></div>',
+        '<h1>Terms</h1><div class="page legal"><p>{}</p></div>',
+        "<div><button>Buy</div><p>{}</p>",
+        "<div><svg><g></g></div><div>{}</div>",
+        "<div><noscript><p>No script</p></div><article><p>{}</p></article>",
+        "<head><meta name=x><body><p>{}</p>",
+    ],
+)
+def test_main_text_in_wrappers_and_after_unclosed_elements(page):
+    text = " ".join(["The story goes on for a while."] * 5)
+    assert text in html_text.main_text(page.format(text))
+
+
+def test_teasers_do_not_stand_in_for_the_article():
+    teaser = "<div class='related'><article><p>Another story.</p></article></div>"
+    assert html_text.main_text(f"<article><p>The story.</p></article>{teaser}") == "The story."
+
+
 def test_language_model_matches_plain_counts(spark, folder):
     rows = corpus()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
