@@ -35,7 +35,7 @@ from sluicegate.llm.trie import Level, level, pack, quantised, unpack
 from sluicegate.session import shared_scratch
 
 END = np.uint64(0x5DEECE66D1234567)
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 DISCOUNT = 0.75
 # Keys a task holds before it sends its blocks, and text scored at a time.
 HELD_KEYS = 3_000_000

@@ -264,6 +264,15 @@ def test_language_model_matches_plain_counts(spark, folder):
     assert off <= 3  # a byte's rounding may cross the first decimal
 
 
+def test_language_model_keeps_what_stands_once(spark, tmp_path):
+    (row,) = queries.op7_language_model(spark, save(spark, tmp_path, documents=frame(spark, [(1, "a b")]))).collect()
+    # Three tokens and the end, each seen once: p(a), p(b | a), p(end | a, b).
+    one, cut = 2 / (3 + 3 + 1), language_model.DISCOUNT
+    pair = (1 - cut) + cut * one
+    expected = math.log10(one) + math.log10(pair) + math.log10((1 - cut) / 1 + cut * pair)
+    assert row.train_tokens == 3 and row.score == pytest.approx(expected, abs=0.05)
+
+
 def test_language_model_without_training_rows(spark, nothing, tmp_path):
     assert queries.op7_language_model(spark, nothing).count() == 0
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
