@@ -147,6 +147,15 @@ def test_substring_windows(spark, folder):
     same_rows(queries.op2_substrings(spark, folder), plain_windows(corpus(), 20))
 
 
+def test_first_places_of_windows_are_aggregated_before_the_shuffle(spark):
+    halves = spark.range(0, 400, 1, 4).selectExpr(
+        "7L AS hash", "id", "1L AS tie", "30 AS pos", "array(3S, 2S) AS back", "array(5L, id + 100) AS full"
+    )
+    later = substrings._later_windows(halves)
+    assert sorted(map(tuple, later.collect())) == [(i, 1, 27) for i in range(1, 400)]
+    assert "partial_min" in later._jdf.queryExecution().toString()
+
+
 @pytest.mark.parametrize("window", [4, 8])
 def test_short_windows_with_few_words(spark, window):
     r = random.Random(window)
