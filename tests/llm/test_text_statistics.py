@@ -265,8 +265,8 @@ def test_language_model_matches_plain_counts(spark, folder):
 
 
 def test_language_model_keeps_what_stands_once(spark, tmp_path):
-    (row,) = queries.op7_language_model(spark, save(spark, tmp_path, documents=frame(spark, [(1, "a b")]))).collect()
-    # Three tokens and the end, each seen once: p(a), p(b | a), p(end | a, b).
+    (row,) = queries.op7_language_model(spark, save(spark, tmp_path, documents=frame(spark, [(None, "a b")]))).collect()
+    # Two words and the end, each seen once: p(a), p(b | a), p(end | a, b).
     one, cut = 2 / (3 + 3 + 1), language_model.DISCOUNT
     pair = (1 - cut) + cut * one
     expected = math.log10(one) + math.log10(pair) + math.log10((1 - cut) / 1 + cut * pair)
