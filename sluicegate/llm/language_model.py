@@ -2,9 +2,8 @@
 
 Training counts words, then pairs, then triples, each over all training texts.  A task adds up what it has
 seen and sends sorted, packed blocks to the shards of the trie; a shard merges its blocks and writes one
-file.  Words are numbered in the order of their hashes.  Pairs and triples seen once are left out, their mass
-goes to the back-off; a triple's last word is numbered among the successors of its middle word, so its numbers
-are small.  Smoothing is absolute discounting, interpolated with the next shorter history down to
+file.  Words are numbered in the order of their hashes.  A triple's last word is numbered among the successors of
+its middle word, so its numbers are small; pairs and triples seen once are kept.  Smoothing is absolute discounting, interpolated with the next shorter history down to
 add-one words.  Logarithms are quantised to a byte.
 
 The files lie in the shared scratch folder.  Scoring maps them into memory, where all tasks of a machine share their

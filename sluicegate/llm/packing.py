@@ -35,8 +35,10 @@ from sluicegate.llm.frames import stored
 # Parts whose ids a worker remembers, and parts looked up at a time.
 CACHED_PARTS = 1_000_000
 GROUP_PARTS = 100_000
-# Its lower case is two characters, a letter and a mark.
-SPLIT_LETTER = "\u0130"
+# Letters below U+0240 whose lower case lies beyond the letters spelt out below.
+FAR_LETTER = re.compile(
+    "[" + "".join(chr(c) for c in range(0x80, 0x240) if max(chr(c).lower()) > "\u024f") + "]"
+)
 # The tokenizer's own pattern, with letters, numbers and white space below U+0240 spelt out.
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
@@ -114,12 +116,12 @@ class PartEncoder:
 
     @staticmethod
     def _is_plain(text: str) -> bool:
-        """Only characters below U+0240, which are composed, and no special token."""
+        """Only characters below U+0240, in lower case too, which are composed, and no special token."""
         if text.isascii():
             return "<|" not in text
         data = text.encode()
         high = np.frombuffer(data, np.uint8).max() >= 0xC9
-        return not high and "<|" not in text and SPLIT_LETTER not in text
+        return not high and "<|" not in text and not FAR_LETTER.search(text)
 
 
 @functools.lru_cache(maxsize=1)

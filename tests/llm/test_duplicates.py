@@ -343,6 +343,14 @@ def test_part_encoder_equals_the_tokenizer():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_part_encoder_equals_the_tokenizer_on_every_letter_it_may_cut():
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer, parts = Tokenizer.from_file(path), packing.PartEncoder(path)
+    texts = [f"a{chr(c)}b {chr(c)} 'x{chr(c)}{chr(c)}1" for c in range(1, 0x260)]
+    for text, ids in zip(texts, parts.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage's decisions against plain Python on what the stage before it kept."""
     leak = items(spark).first().text

@@ -228,8 +228,6 @@ def test_language_model_matches_plain_counts(spark, folder):
             two.update(zip(words, words[1:], strict=False))
             three.update(zip(words, words[1:], words[2:], strict=False))
     total, distinct, cut = sum(one.values()), len(one), language_model.DISCOUNT
-    two = {k: v for k, v in two.items() if v > 1}
-    three = {k: v for k, v in three.items() if v > 1}
     left1, left2 = Counter(), Counter()
     for (a, _), v in two.items():
         left1[a] += v - cut
