@@ -18,6 +18,7 @@ from sluicegate.llm import (
     simhash,
     substrings,
     suffixes,
+    token_counts,
     toxicity,
 )
 from sluicegate.llm.frames import id_remainder, table
@@ -119,6 +120,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and whether there are more than 2048."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
