@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from sluicegate.llm.frames import stored
 from sluicegate.llm.packing import PartEncoder
 
-CHUNK = 32_768
+CHUNK = 65_536
 OVERLAP = 256
 WIDER = 8
 SEAM = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -208,7 +208,8 @@ def count_tokens(
     huge = named.where(~short).withColumn("row", F.md5(F.col("text").cast("binary")))
     left, rounds = huge.select("row", "text"), []
     while not left.isEmpty():
-        done = stored(_spliced(_encode(left, tokenizer, chunk, overlap)), "token-splices")
+        encoded = stored(_encode(left, tokenizer, chunk, overlap), "token-chunks")
+        done = stored(_spliced(encoded), "token-splices")
         rounds.append(done.where("n_tokens is not null"))
         missed = done.where("n_tokens is null").select("row")
         if missed.isEmpty():

@@ -64,7 +64,7 @@ def test_seams_stand_where_both_sides_agree():
 
 def test_token_count_query(spark, tmp_path):
     path, count = library(queries.TOKENIZER)
-    rows = [*corpus(), (7000, prose(random.Random(2), 9000))]
+    rows = [*corpus(), (7000, prose(random.Random(2), 30000))]
     found = queries.op13_token_counts(spark, save(spark, tmp_path, documents=frame(spark, rows)))
     assert found.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
     expected = [(i, len((t or "").encode()), count(t or "")) for i, t in rows]
