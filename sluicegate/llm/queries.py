@@ -16,6 +16,7 @@ from sluicegate.llm import (
     packing,
     quality,
     simhash,
+    spelling,
     substrings,
     suffixes,
     token_counts,
@@ -120,6 +121,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent words one edit away that they may stand for."""
+    return spelling.variants(table(spark, sf_dir, "documents"), typo_divisor=97)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents, and whether there are more than 2048."""
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
+import re
+import zlib
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sluicegate.llm import queries, token_counts
+from sluicegate.llm import queries, spelling, token_counts
 from tests.llm.texts import corpus, frame, prose, save
 
 
@@ -79,3 +81,92 @@ def test_token_counts_of_nothing_and_odd_names(spark):
     assert [tuple(r) for r in found.collect()] == [("k", 1200, count("a b c " * 200))]
     with pytest.raises(ValueError, match="overlap"):
         token_counts.count_tokens(renamed, path, chunk=100, overlap=50)
+
+
+def misspelt(r: random.Random) -> list[tuple[int | None, str | None]]:
+    """Texts with words one and two edits apart, chains of them, repeated letters, marks and hot bigrams."""
+    stems = ["plain", "river", "größe", "naïve", "aaaaa", "abababab", "x" * 40, "ÀÉÎõü", "walking", "a×b÷c"]
+    letters = "abeix\u00c0\u00e9\u00d7"
+
+    def edited(word: str) -> str:
+        at, kind = r.randrange(len(word)), r.randrange(3)
+        return word[:at] + (r.choice(letters) if kind else "") + word[at + (kind != 1) :]
+
+    pool = [w for w in stems for _ in range(40)]
+    for stem in stems:
+        word = stem
+        for many in (12, 6, 3, 3):
+            word = edited(word)
+            pool += [word] * many + [edited(stem)] * 3 + [edited(word).upper()] * 2
+    r.shuffle(pool)
+    rows = [(i, " ".join(pool[i::30]) + r.choice(["", "!", " 1word2word\n"])) for i in range(30)]
+    return [*rows, *corpus(), (None, "plain rivers plain"), (5, "plains plains' plain-s")]
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_variants(rows) -> Counter:
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    counts: Counter[str] = Counter()
+    for i, text in rows:
+        for word in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            word = word.translate(lower)
+            h = zlib.crc32(f"{i}:{word}".encode())
+            if i is not None and h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
+    links = defaultdict(list)
+    for a in words:
+        for b in words:
+            if near(a, b):
+                links[a].append(b)
+    forms = {}
+    for w, others in links.items():
+        best = min(others, key=lambda o: (-words[o], o))
+        if words[best] >= 2 * words[w]:
+            forms[w] = best
+
+    def root(w: str) -> str:
+        while w in forms:
+            w = forms[w]
+        return w
+
+    return Counter((w, forms.get(w), root(w), n, len(links[w]), words[forms[w]] if w in forms else None) for w, n in words.items())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_spelling_query_equals_all_pairs(spark, tmp_path, seed):
+    rows = misspelt(random.Random(seed))
+    found = queries.op12_spelling(spark, save(spark, tmp_path, documents=frame(spark, rows)))
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    expected = plain_variants(rows)
+    assert any(form and root != form for _, form, root, *_ in expected)
+    assert bag(found.collect()) == expected
+
+
+def test_pivots_are_the_cheapest_disjoint_bigrams():
+    r = random.Random(4)
+    for _ in range(300):
+        places = sorted(r.sample(range(9), r.randint(3, 7)))
+        costs = [r.randint(0, 5) for _ in places]
+        chosen = spelling.pivots(places, costs)
+        fits = [(i, j) for i in range(len(places)) for j in range(i) if places[i] - places[j] >= 2]
+        assert len(chosen) == 2 and places[chosen[1]] - places[chosen[0]] >= 2
+        assert sum(costs[i] for i in chosen) == min(costs[i] + costs[j] for i, j in fits)
+
+
+def test_spelling_of_nothing(spark):
+    assert not spelling.variants(frame(spark, [])).collect()
+    assert not spelling.variants(frame(spark, [(1, None), (2, ""), (3, "one two")])).collect()
+    found = spelling.variants(frame(spark, [(1, "plain plain plain")])).collect()
+    assert [tuple(r) for r in found] == [("plain", None, "plain", 3, 0, None)]
+    with pytest.raises(ValueError, match="letters"):
+        spelling.variants(frame(spark, []), least_letters=3)
+    with pytest.raises(ValueError, match="twice"):
+        spelling.variants(frame(spark, []), ratio=1)
