@@ -14,6 +14,7 @@ from sluicegate.llm import (
     language_model,
     licenses,
     packing,
+    prefix_trie,
     quality,
     simhash,
     spelling,
@@ -121,6 +122,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the conversations, each begun with turns of the first of its hundred."""
+    own = F.col("conv_id")
+    steps = prefix_trie.steps_of(table(spark, sf_dir, "conversations"), own - own % 100)
+    taken = F.crc32(F.col("id").cast("string").cast("binary")) % 6
+    nodes = prefix_trie.prefix_nodes(prefix_trie.grafted(steps, taken, 5))
+    return nodes.withColumnsRenamed({"n_members": "n_convs", "saved": "saved_tokens"})
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with the frequent words one edit away that they may stand for."""
     return spelling.variants(table(spark, sf_dir, "documents"), typo_divisor=97)

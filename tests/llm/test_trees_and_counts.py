@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,7 +14,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sluicegate.llm import queries, spelling, token_counts
+from sluicegate.llm import prefix_trie, queries, spelling, token_counts
 from tests.llm.texts import corpus, frame, prose, save
 
 
@@ -170,3 +172,108 @@ def test_spelling_of_nothing(spark):
         spelling.variants(frame(spark, []), least_letters=3)
     with pytest.raises(ValueError, match="twice"):
         spelling.variants(frame(spark, []), ratio=1)
+
+
+TURNS = "conv_id long, turn int, role string, text string, id string, near string, steps string, path string"
+
+
+def talks(r: random.Random) -> list[tuple[int | None, int | None, str | None, str | None]]:
+    """Conversations that share beginnings, copies of one, a long one, absent bases, null and repeated turns."""
+    said = ["", "hi", "hello", "héllo", "no", None, "a,b", "日本"]
+    rows = []
+    for c in [*range(0, 60), *range(100, 130), *range(205, 260), -150, -100, -7, 70_000, 70_001, 140_000, 5_000_000_000]:
+        copy = r.random() < 0.3
+        for turn in range(7 if copy else r.choice([0, 1, 2, 3, 5, 8])):
+            text = f"turn {turn}" if copy else r.choice(said[:3] if turn < 3 else said)
+            rows.append((c, turn * 2, "user" if turn % 2 else None, text))
+    rows += [(31, None, "system", "before all"), (31, 0, "u", "ser"), (31, 0, "us", "er"), (None, 1, "user", "nobody's")]
+    rows += [(300, turn, "user", f"{turn % 7}") for turn in range(900)] + [(301, turn, "user", f"{turn % 7}") for turn in range(700)]
+    rows += [rows[40], rows[40]]
+    r.shuffle(rows)
+    return rows
+
+
+def digest(row) -> bytes:
+    who, said = (row[2] or "").encode(), (row[3] or "").encode()
+    return hashlib.md5(str(len(who)).encode() + b":" + who + said).digest()
+
+
+def plain_nodes(rows) -> Counter:
+    own = defaultdict(list)
+    for row in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[1] is not None, r[1] or 0, digest(r))):
+        own[row[0]].append((row[2] or "", row[3] or ""))
+    rebuilt = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - int(math.fmod(c, 100))
+        rebuilt[c] = tuple(own.get(base, [])[:h] + own[c][h:])
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
+    for c in sorted(rebuilt):
+        path = rebuilt[c]
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+            if d:
+                children[path[: d - 1]].add(path[:d])
+    leaves, saved = Counter(), Counter()
+    for node, who in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(who) - 1) * (len(node[-1][1]) if node else 0)
+    return Counter(
+        (
+            who[0],
+            len(node),
+            members[node[:-1]][0] if node else None,
+            len(who),
+            len(children[node]),
+            leaves[node],
+            saved[node],
+            hashlib.sha256(",".join(map(str, ends[node])).encode()).hexdigest(),
+        )
+        for node, who in members.items()
+    )
+
+
+def turns(spark, rows):
+    return spark.createDataFrame([(*row, "z", "z", "z", "z") for row in rows], TURNS).repartition(3)
+
+
+@pytest.mark.parametrize(("seed", "shard_steps"), [(1, 20_000), (2, 400), (3, 60), (4, 5)])
+def test_prefix_trie_equals_plain_prefixes(spark, tmp_path, monkeypatch, seed, shard_steps):
+    rows = talks(random.Random(seed))
+    found = prefix_trie.prefix_nodes
+    monkeypatch.setattr(prefix_trie, "prefix_nodes", lambda s: found(s, shard_steps=shard_steps))
+    monkeypatch.setattr(prefix_trie, "HELD_BYTES", 4000)
+    result = queries.op11_prefix_trie(spark, save(spark, tmp_path, conversations=turns(spark, rows)))
+    names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert result.columns == names and {t for _, t in result.dtypes} == {"bigint", "string"}
+    assert bag(result.collect()) == plain_nodes(rows)
+
+
+def test_many_members_of_one_path_in_blocks(spark):
+    ids = [i * 7 - 90_000 for i in range(30_000)]
+    sequences = spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "array(struct(unhex(md5('a')) as key, 3L as size)) as steps")
+    root, leaf = sorted(map(tuple, prefix_trie.prefix_nodes(sequences.repartition(5)).collect()), key=lambda r: r[1])
+    whole = hashlib.sha256(",".join(map(str, sorted(ids))).encode()).hexdigest()
+    assert leaf == (min(ids), 1, min(ids), 30_000, 0, 1, 3 * 29_999, whole)
+    assert root[:7] == (min(ids), 0, None, 30_000, 1, 1, 3 * 29_999)
+
+
+def test_splitters_are_shortest_prefixes_in_order():
+    r = random.Random(6)
+    paths = [b"".join(bytes([r.randrange(3)]) * 16 for _ in range(r.randrange(9))) for _ in range(500)]
+    cuts = prefix_trie.splitters(paths, 20)
+    assert 10 < len(cuts) < 20 and cuts == sorted(set(cuts)) and all(any(p.startswith(c) for p in paths) for c in cuts)
+    assert sum(map(len, prefix_trie.splitters(paths, 20, 30))) <= 30 * 16
+    skeleton = prefix_trie.Skeleton(cuts)
+    assert sorted(skeleton.shard(p) for p in paths) == [skeleton.shard(p) for p in sorted(paths)]
+    for a, b in zip(paths, paths[1:], strict=False):
+        same = prefix_trie.common_steps(a, b)
+        assert a[: same * 16] == b[: same * 16] and a[same * 16 : same * 16 + 16] != b[same * 16 : same * 16 + 16] or same * 16 in (len(a), len(b))
+
+
+def test_prefix_trie_of_nothing(spark, tmp_path):
+    assert not queries.op11_prefix_trie(spark, save(spark, tmp_path, conversations=turns(spark, []))).collect()
+    result = queries.op11_prefix_trie(spark, save(spark, tmp_path / "b", conversations=turns(spark, [(None, 1, "a", "b")])))
+    assert not result.collect()
