@@ -4,9 +4,9 @@ Every word is cut into bigrams, ordered by how many places of the vocabulary hol
 prefix is its bigrams up to the third of that order, ties included.  Among them a dynamic program chooses two
 disjoint ones of the least total frequency, the pivots.  One edit spoils at most one of two disjoint bigrams, so if
 two words are one edit apart, a pivot of the one whose prefix ends earlier in the order stands in the prefix
-of the other.  Pivots are therefore looked up among prefixes, by bigram, length and place: an edit
-behind a bigram leaves its place, one before it moves it by the difference in length.  That is an equi-join on all
-three; each pair found is verified by its edit distance.
+of the other.  Pivots are therefore looked up among prefixes, by length and by place: an edit behind a bigram leaves
+its place and all before it, one before it leaves its distance from the end and all behind it.  That is an equi-join
+on the length and the hash of the untouched side with the bigram; each pair found is verified by its edit distance.
 
 A bigram's share of the vocabulary does not matter, as words choose their rarest ones; the skewed rest is split by adaptive
 execution.  The table of bigrams is held by every task: it has at most the square of the letters' number.
@@ -37,8 +37,8 @@ EDITS = 1
 # A word of four letters has three bigrams, enough for two disjoint ones.
 LEAST_LETTERS = GRAM * EDITS + GRAM
 HELD_WORDS = 400_000
-# Differences in length, and in place, of words one edit apart around a bigram that both have.
-SHIFTS = ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
+# Differences in length of words one edit apart.
+LONGER = (-1, 0, 1)
 
 
 def altered(word: str, seed: int, divisor: int) -> str:
@@ -167,21 +167,23 @@ def signatures(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame
 def near_pairs(words: DataFrame) -> DataFrame:
     """Every pair of words one edit apart, once: ``a`` below ``b``, with their numbers."""
     grams = stored(signatures(words, gram_ranks(words)), "spelling-grams")
-    shifts = F.array(*(F.struct(F.lit(s).alias("longer"), F.lit(p).alias("moved")) for s, p in SHIFTS))
-    probes = grams.where("pivot").select("*", F.inline(shifts)).select(
-        "gram",
-        (F.col("size") + F.col("longer")).alias("size"),
-        (F.col("place") + F.col("moved")).alias("place"),
+    # The word up to the bigram's end, and from its begin on.
+    sides = (F.substring("word", F.lit(1), F.col("place") + GRAM), F.substring("word", F.col("place") + 1, F.col("size")))
+    keys = F.array(*(F.xxhash64(F.lit(at), side) for at, side in enumerate(sides)))
+    entries = grams.select("word", "n", "last", "size", "pivot", F.explode(keys).alias("key"))
+    probes = entries.where("pivot").select(
+        "key",
+        F.explode(F.array(*(F.col("size") + longer for longer in LONGER))).alias("size"),
         *(F.col(c).alias(f"left_{c}") for c in ("word", "n", "last")),
     )
-    met = probes.join(grams.drop("pivot"), ["gram", "size", "place"])
+    met = probes.join(entries.drop("pivot"), ["key", "size"])
     verified = met.where(
         (F.col("left_last") <= F.col("last"))
         & (F.col("left_word") != F.col("word"))
         & (F.levenshtein("left_word", "word", EDITS) == EDITS)
     )
-    sides = [F.struct(F.col(f"{s}word").alias("word"), F.col(f"{s}n").alias("n")) for s in ("left_", "")]
-    return verified.select(F.least(*sides).alias("a"), F.greatest(*sides).alias("b")).distinct()
+    ends = [F.struct(F.col(f"{s}word").alias("word"), F.col(f"{s}n").alias("n")) for s in ("left_", "")]
+    return verified.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
 
 def _roots(links: DataFrame) -> DataFrame:
