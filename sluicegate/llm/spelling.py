@@ -6,7 +6,8 @@ disjoint ones of the least total frequency, the pivots.  One edit spoils at most
 two words are one edit apart, a pivot of the one whose prefix ends earlier in the order stands in the prefix
 of the other.  Pivots are therefore looked up among prefixes, by length and by place: an edit behind a bigram leaves
 its place and all before it, one before it leaves its distance from the end and all behind it.  That is an equi-join
-on the length and the hash of the untouched side with the bigram; each pair found is verified by its edit distance.
+on the length and the hash of the untouched side with the bigram.  Each pair found is verified by its edit distance,
+unless their sets of letters, as bits of a number, differ in more than two, which no single edit can bring about.
 
 A bigram's share of the vocabulary does not matter, as words choose their rarest ones; the skewed rest is split by adaptive
 execution.  The table of bigrams is held by every task: it has at most the square of the letters' number.
@@ -145,23 +146,37 @@ def signature(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[int, list[t
     return last, [(known[i][0], i, at in chosen) for at, i in enumerate(places)]
 
 
+def letter_bits(word: str) -> int:
+    """The letters that occur, as bits of a signed 64-bit number."""
+    bits = 0
+    for letter in set(word):
+        bits |= 1 << (ord(letter) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def signatures(words: DataFrame, ranks: dict[str, tuple[int, int]]) -> DataFrame:
     """Each word's prefix, one row a bigram."""
     kind = pa.list_(pa.struct([("gram", pa.int32()), ("place", pa.int32()), ("pivot", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [signature(word, ranks) for word in batch.column("word").to_pylist()]
+            listed = batch.column("word").to_pylist()
+            found = [signature(word, ranks) for word in listed]
             grams = [[dict(zip(("gram", "place", "pivot"), g, strict=True)) for g in prefix] for _, prefix in found]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([last for last, _ in found], pa.int32()), pa.array(grams, kind)],
-                ["word", "n", "last", "grams"],
+                [
+                    *batch.columns,
+                    pa.array([last for last, _ in found], pa.int32()),
+                    pa.array(map(letter_bits, listed), pa.int64()),
+                    pa.array(grams, kind),
+                ],
+                ["word", "n", "last", "letters", "grams"],
             )
 
     rows = words.select("word", "n").mapInArrow(
-        run, "word string, n long, last int, grams array<struct<gram: int, place: int, pivot: boolean>>"
+        run, "word string, n long, last int, letters long, grams array<struct<gram: int, place: int, pivot: boolean>>"
     )
-    return rows.select("word", "n", "last", F.length("word").alias("size"), F.inline("grams"))
+    return rows.select("word", "n", "last", "letters", F.length("word").alias("size"), F.inline("grams"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -170,15 +185,16 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # The word up to the bigram's end, and from its begin on.
     sides = (F.substring("word", F.lit(1), F.col("place") + GRAM), F.substring("word", F.col("place") + 1, F.col("size")))
     keys = F.array(*(F.xxhash64(F.lit(at), side) for at, side in enumerate(sides)))
-    entries = grams.select("word", "n", "last", "size", "pivot", F.explode(keys).alias("key"))
+    entries = grams.select("word", "n", "last", "letters", "size", "pivot", F.explode(keys).alias("key"))
     probes = entries.where("pivot").select(
         "key",
         F.explode(F.array(*(F.col("size") + longer for longer in LONGER))).alias("size"),
-        *(F.col(c).alias(f"left_{c}") for c in ("word", "n", "last")),
+        *(F.col(c).alias(f"left_{c}") for c in ("word", "n", "last", "letters")),
     )
     met = probes.join(entries.drop("pivot"), ["key", "size"])
     verified = met.where(
         (F.col("left_last") <= F.col("last"))
+        & (F.bit_count(F.col("left_letters").bitwiseXOR(F.col("letters"))) <= 2 * EDITS)
         & (F.col("left_word") != F.col("word"))
         & (F.levenshtein("left_word", "word", EDITS) == EDITS)
     )
