@@ -5,7 +5,9 @@ from sluicegate.functions.rules import (
     Between,
     Required,
     Rule,
+    failure_mask,
     passes_all,
+    reasons_in,
     rejection_reason,
 )
 from sluicegate.functions.values import (
@@ -29,11 +31,13 @@ __all__ = [
     "completeness",
     "decimal_total",
     "exact_mean",
+    "failure_mask",
     "from_epoch_seconds",
     "is_blank",
     "label_or",
     "lowered_label",
     "passes_all",
+    "reasons_in",
     "rejection_reason",
     "share",
 ]

@@ -9,13 +9,13 @@ same result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Places kept of every value.  22 digits before the point are left, and the sum has room for 10**10 values.
 SCALE = 6
-_MEAN = "decimal(38,10)"
 
 
 def _odd(column: str) -> Column:
@@ -30,10 +30,22 @@ def decimal_total(column: str, scale: int = SCALE) -> Column:
     return F.sum(exact)
 
 
-def exact_mean(total: Column, n: Column, digits: int) -> Column:
-    """``total / n`` rounded half up, as double; NULL where ``n`` is 0."""
-    mean = F.when(n > 0, total.cast(_MEAN) / n)
-    return F.round(mean, digits).cast("double")
+def exact_mean(total: Column, n: Column, digits: int, scale: int = SCALE) -> Column:
+    """``total / n`` rounded half up, as double; NULL where ``n`` is 0.
+
+    Rounded once, by the remainder: what the total holds beyond a multiple of ``n`` steps of the last digit is at least half of
+    them or not.  Rounding a quotient would round twice, and lift a mean just below a tie.
+    """
+    if scale > SCALE:
+        # One digit less before the point, or a subtraction would drop the last one behind it.
+        total = total.cast(f"decimal(37,{scale})")
+    many = F.nullif(n, F.lit(0)).cast("decimal(19,0)")
+    step = F.lit(Decimal(1).scaleb(-digits))
+    rest = total % (many * step)
+    # The division comes out even within the total's scale, which is no less than the digits.
+    whole = ((total - rest) / many).cast(f"decimal({23 + scale},{scale})")
+    up = F.when(F.abs(rest) * 2 >= many * step, F.signum(rest).cast("decimal(1,0)") * step).otherwise(0)
+    return (whole + up).cast("double")
 
 
 @dataclass(frozen=True)
@@ -69,7 +81,7 @@ class Average:
         return f"{self.column}_odd"
 
     def _rounded(self, total: Column, n: Column, odd: Column) -> Column:
-        mean = exact_mean(total, n, self.digits)
+        mean = exact_mean(total, n, self.digits, self.scale)
         return F.when(odd, float("nan")).otherwise(mean).alias(self.name)
 
     def of_rows(self) -> Column:
@@ -83,5 +95,13 @@ class Average:
             F.bool_or(_odd(self.column)).alias(self._has_odd),
         ]
 
+    def merged(self) -> list[Column]:
+        """Partial sums of partial sums."""
+        return [
+            F.sum(self._total).cast(f"decimal(38,{self.scale})").alias(self._total),
+            F.sum(self._n).alias(self._n),
+            F.bool_or(self._has_odd).alias(self._has_odd),
+        ]
+
     def of_partials(self) -> Column:
         return self._rounded(F.sum(self._total), F.sum(self._n), F.bool_or(self._has_odd))

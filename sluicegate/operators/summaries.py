@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicegate.functions import Average
+from sluicegate.functions import Average, Rule
 from sluicegate.operators.counting import (
     DUPLICATE_COUNT,
     QUARANTINED_COUNT,
     SOURCE_COUNT,
     VALID_COUNT,
+    count_columns,
     rates,
 )
+from sluicegate.operators.dedup import LATEST, Order, latest_and_counts
 
 LOW_SCORE = 0.5
 SCORE = "completeness_score"
@@ -92,30 +94,82 @@ def run_quality(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return _with_counts(quality, counts)
 
 
+def run_quality_in_one_pass(
+    rows: DataFrame, rules: Sequence[Rule], key: Sequence[str], order: Sequence[Order]
+) -> DataFrame:
+    """``run_quality`` of rows not yet checked: one scan and one exchange by key give scores and counts."""
+    keyed = latest_and_counts(rows, rules, key, order, [SCORE])
+    # Only a key's kept row has a score here, so rejected rows take no part.
+    keyed = keyed.withColumn(SCORE, F.col(LATEST)[SCORE])
+    *statistics, low = _quality_columns(
+        F.lit(0), _SCORE_AVERAGE.of_rows(), F.min(SCORE), F.max(SCORE), F.sum(F.when(F.col(SCORE).isNotNull(), _low()))
+    )[1:]
+    return rates(keyed.agg(*count_columns(), *statistics, low)).select(
+        SOURCE_COUNT,
+        VALID_COUNT,
+        QUARANTINED_COUNT,
+        DUPLICATE_COUNT,
+        "acceptance_rate",
+        "quarantine_rate",
+        _SCORE_AVERAGE.name,
+        "minimum_completeness_score",
+        "maximum_completeness_score",
+        "low_completeness_count",
+    )
+
+
 def group_facts(
-    rows: DataFrame, labels: Mapping[str, Column], averages: Sequence[Average]
+    rows: DataFrame,
+    labels: Mapping[str, Column],
+    averages: Sequence[Average],
+    key: str | None = None,
 ) -> DataFrame:
     """Partial aggregates by all labels at once, from which summaries roll up.
 
-    One scan and one shuffle serve every summary.  Counts are of rows, so the rows must
-    be one per key.
+    One scan and one shuffle serve every summary.  Without ``key`` counts are of rows, which must then be one per
+    key.  With it, as for the rows of several runs, each label's distinct keys are counted as well: rows meet by key
+    in the one shuffle, a key is marked once per label there, and the marks add up to exact counts.
     """
-    return rows.groupBy(*(label.alias(name) for name, label in labels.items())).agg(
+    named = rows.withColumns(dict(labels)) if key else rows
+    found = [
         F.count("*").alias("row_count"),
         *(partial for a in averages for partial in a.partials()),
         F.min(SCORE).alias("score_min"),
         F.max(SCORE).alias("score_max"),
         F.sum(_low()).alias("score_low"),
+    ]
+    if not key:
+        return named.groupBy(*(label.alias(name) for name, label in labels.items())).agg(*found)
+    # A key has a row a run, so none is hot.  Grouping and marking need no other exchange than this one.
+    by_key = named.repartition(key).groupBy(key, *labels).agg(*found)
+    once = {
+        _keys(name): (F.row_number().over(Window.partitionBy(key, name).orderBy(*(n for n in labels if n != name))) == 1)
+        .cast("long")
+        for name in labels
+    }
+    marked = by_key.withColumns(once)
+    sums = ["row_count", "score_low", *(_keys(name) for name in labels)]
+    return marked.groupBy(*labels).agg(
+        *(F.sum(c).alias(c) for c in sums),
+        *(again for a in averages for again in a.merged()),
+        F.min("score_min").alias("score_min"),
+        F.max("score_max").alias("score_max"),
     )
 
 
+def _keys(name: str) -> str:
+    return f"{name}_keys"
+
+
 def summary_of_facts(
-    facts: DataFrame, label: Column, name: str, averages: Sequence[Average]
+    facts: DataFrame, label: Column, name: str, averages: Sequence[Average], keys_of: str | None = None
 ) -> DataFrame:
-    """``group_summary`` rolled up from ``group_facts``."""
-    return facts.groupBy(label.alias(name)).agg(
-        F.sum("row_count").alias("product_count"), *(a.of_partials() for a in averages)
-    )
+    """``group_summary`` rolled up from ``group_facts``.
+
+    ``keys_of`` names the label whose distinct keys are counted; ``label`` must then be that label itself.
+    """
+    counted = F.sum(_keys(keys_of) if keys_of else "row_count")
+    return facts.groupBy(label.alias(name)).agg(counted.alias("product_count"), *(a.of_partials() for a in averages))
 
 
 def quality_of_facts(facts: DataFrame, counts: DataFrame) -> DataFrame:

@@ -6,22 +6,24 @@ from sluicegate.plans.bronze_to_silver import (
     latest_accepted,
     validate,
 )
-from sluicegate.plans.landing import land_pages
+from sluicegate.plans.landing import DocumentCounts, land_documents, land_pages
 from sluicegate.plans.record_plan import PRODUCTS, RecordPlan
-from sluicegate.plans.reports import landing_counts, run_metadata, run_report
+from sluicegate.plans.reports import run_metadata, run_report
 from sluicegate.plans.silver_to_gold import GoldResult, silver_to_gold
-from sluicegate.plans.whole_run import Roots, process_run
+from sluicegate.plans.whole_run import Roots, process_pages, process_run
 
 __all__ = [
     "PRODUCTS",
+    "DocumentCounts",
     "GoldResult",
     "RecordPlan",
     "Roots",
     "SilverResult",
     "bronze_to_silver",
+    "land_documents",
     "land_pages",
-    "landing_counts",
     "latest_accepted",
+    "process_pages",
     "process_run",
     "run_metadata",
     "run_report",

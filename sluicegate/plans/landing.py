@@ -1,15 +1,37 @@
-"""Response pages to landed bronze records."""
+"""Fetched pages and documents to landed bronze records."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluicegate.plans.reports import run_metadata
 from sluicegate.run import Run
-from sluicegate.sources import land_lines, page_count_columns, page_lines, read_pages, write_run
+from sluicegate.session import discard_scratch, shared_scratch
+from sluicegate.sources import (
+    land_lines,
+    page_count_columns,
+    page_lines,
+    read_flagged,
+    read_pages,
+    refuse_lists,
+    write_run,
+    write_runs,
+)
+from sluicegate.sources.json_records import DAMAGED, SOURCE_FILE, texts_of
+
+_LOST = "lost"
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
 
 
 def land_pages(
@@ -24,6 +46,7 @@ def land_pages(
     page_size: int,
     pages_requested: int | None = None,
     multi_line: bool = True,
+    clock: Callable[[], datetime] = _now,
 ) -> DataFrame:
     """Flatten fetched pages, land their records and return the run's metadata row.
 
@@ -31,14 +54,22 @@ def land_pages(
     are read.  Pages and records are counted while they are written.  Nothing is shuffled on the
     way, and Spark counts each finished output partition once even if its task is
     repeated, so the counts are exact.
+
+    The pages are read once.  Only if some had no envelope are their files read again, to refuse pages that are lists,
+    before the landed lines take the place of older ones.
     """
-    started_at = datetime.now(timezone.utc)
+    started_at = clock()
     of_pages, of_records = Observation("pages"), Observation("records")
-    pages = read_pages(spark, pages_path, multi_line=multi_line)
+    pages = read_pages(spark, pages_path, multi_line=multi_line, checked=False)
     pages = pages.observe(of_pages, *page_count_columns())
     lines = page_lines(pages)
     lines = lines.observe(of_records, F.count("*").alias("record_count"))
-    path = land_lines(lines, bronze_root, run)
+
+    def check() -> None:
+        if of_pages.get["empty_envelope_count"]:
+            refuse_lists(spark, pages_path, multi_line=multi_line)
+
+    path = land_lines(lines, bronze_root, run, check)
 
     counts = {**of_pages.get, **of_records.get}
     metadata = run_metadata(
@@ -49,8 +80,51 @@ def land_pages(
         page_size=page_size,
         pages_requested=pages_requested,
         started_at=started_at,
-        completed_at=datetime.now(timezone.utc),
+        completed_at=clock(),
         product_path=path,
     )
     write_run(metadata, metadata_root, run)
     return metadata
+
+
+@dataclass(frozen=True)
+class DocumentCounts:
+    """Records read from documents, and documents that lost something."""
+
+    record_count: int
+    dead_letter_count: int
+
+
+def land_documents(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    run: Run,
+    records_root: str,
+    dead_letter_root: str,
+) -> DocumentCounts:
+    """Split documents, each a file with a list of records, into typed records and a dead-letter table.
+
+    A document that lost anything in the reading is a dead letter: its file, its whole text, how many rows
+    it gave and how many of them hold nothing.  Those leave the records; what could be read of the
+    others stays, with NULL for values of the wrong shape.  Documents are parsed once; the text of damaged
+    ones is read once more, by file.
+    """
+    stage_path = shared_scratch(spark, f"documents-{run.run_id}")
+    nothing = reduce(and_, (F.col(f"`{name}`").isNull() for name in schema.names))
+    flagged = read_flagged(spark, path, schema).withColumn(_LOST, F.col(DAMAGED) & nothing)
+    try:
+        flagged.write.parquet(stage_path)
+        stage = spark.read.schema(flagged.schema).parquet(stage_path)
+        records = stage.where(~F.col(_LOST)).select(*(F.col(f"`{name}`") for name in schema.names))
+        damaged = (
+            stage.where(DAMAGED)
+            .groupBy(SOURCE_FILE)
+            .agg(F.count("*").alias("row_count"), F.count_if(F.col(_LOST)).alias("lost_row_count"))
+        )
+        texts = texts_of(spark, path, damaged).withColumnRenamed("value", "document_text")
+        letters = damaged.join(texts, SOURCE_FILE)
+        counts = write_runs({records_root: records, dead_letter_root: letters}, run)
+    finally:
+        discard_scratch(spark, stage_path)
+    return DocumentCounts(counts[records_root], counts[dead_letter_root])

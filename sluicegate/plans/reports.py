@@ -13,18 +13,6 @@ from sluicegate.operators.routing import REASON
 from sluicegate.plans.bronze_to_silver import SilverResult
 from sluicegate.plans.silver_to_gold import BRAND_TABLE, GRADE_TABLE, GoldResult
 from sluicegate.run import Run
-from sluicegate.sources import page_counts
-
-
-def landing_counts(records: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    """One row: records and, given ``pages``, pages and pages without an envelope."""
-    counted = records.agg(F.count("*").alias("record_count"))
-    if pages is None:
-        no_count = F.lit(None).cast("long")
-        return counted.withColumns({"page_count": no_count, "empty_envelope_count": no_count})
-    # Two one-row frames side by side; each fills the other's columns with NULL.
-    stacked = counted.unionByName(page_counts(pages), allowMissingColumns=True)
-    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
 def run_metadata(
@@ -39,7 +27,7 @@ def run_metadata(
     product_path: str,
     pages_requested: int | None = None,
 ) -> DataFrame:
-    """What a run landed, from where and how long it took; see ``landing_counts``."""
+    """What a run landed, from where and how long it took; ``counts`` has one row."""
     seconds = round((completed_at - started_at).total_seconds(), 2)
     return counts.select(
         F.lit(run.run_id).alias("run_id"),

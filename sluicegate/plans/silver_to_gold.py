@@ -61,11 +61,26 @@ def grade_summary(silver: DataFrame, key: str | None = None) -> DataFrame:
     return group_summary(silver, grade_label(), "nutrition_grade", GRADE_AVERAGES, key)
 
 
-def product_facts(silver: DataFrame) -> DataFrame:
-    """Partial aggregates by brand and grade, enough for every gold table."""
+def product_facts(silver: DataFrame, key: str | None = None) -> DataFrame:
+    """Partial aggregates by brand and grade, enough for every gold table; see ``group_facts`` for ``key``."""
     averages = {a.column: a for a in (*BRAND_AVERAGES, *CANONICAL_BRAND_AVERAGES, *GRADE_AVERAGES)}
     labels = {"brand": brand_label(), "nutrition_grade": grade_label()}
-    return group_facts(silver, labels, [Average(c, a.digits) for c, a in averages.items()])
+    return group_facts(silver, labels, [Average(c, a.digits) for c, a in averages.items()], key)
+
+
+def brand_summary_of_runs(silver: DataFrame, key: str) -> DataFrame:
+    """Per brand over the silver of several runs, with the number of distinct keys.
+
+    A key may stand in every run, under different brands; it counts once for each of its brands.
+    """
+    facts = product_facts(silver, key)
+    return summary_of_facts(facts, F.col("brand"), "brand", BRAND_AVERAGES, keys_of="brand")
+
+
+def grade_summary_of_runs(silver: DataFrame, key: str) -> DataFrame:
+    """Per nutrition grade over the silver of several runs, with the number of distinct keys."""
+    facts = product_facts(silver, key)
+    return summary_of_facts(facts, F.col("nutrition_grade"), "nutrition_grade", GRADE_AVERAGES, keys_of="nutrition_grade")
 
 
 def silver_to_gold(
@@ -81,7 +96,8 @@ def silver_to_gold(
     once, into partial sums by brand and grade; the tables roll up from those.  The sums
     are exact, so the result equals an aggregation of the rows themselves.
 
-    ``counts`` (one row, see ``route_counts``) is needed for the quality table.
+    ``counts`` (one row, see ``route_counts``) is needed for the quality table.  Every table carries the run's
+    id and its clock.
     """
     facts = product_facts(silver).persist()
     try:
@@ -97,9 +113,9 @@ def silver_to_gold(
                 facts, canonical_brand_label(), "brand", CANONICAL_BRAND_AVERAGES
             )
         if counts is not None:
-            tables[QUALITY_TABLE] = quality_of_facts(facts, counts).withColumn(
-                "generated_at", F.lit(run.processed_at)
-            )
+            tables[QUALITY_TABLE] = quality_of_facts(facts, counts)
+        lineage = {"run_id": F.lit(run.run_id), "generated_at": F.lit(run.processed_at)}
+        tables = {name: rows.withColumns(lineage) for name, rows in tables.items()}
         roots = {f"{gold_root.rstrip('/')}/{name}": name for name in tables}
         written = write_runs({root: tables[name] for root, name in roots.items()}, run)
     finally:

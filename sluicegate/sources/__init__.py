@@ -6,23 +6,37 @@ from sluicegate.sources.json_records import (
     page_count_columns,
     page_counts,
     page_lines,
+    read_flagged,
     read_json,
     read_pages,
+    refuse_lists,
+)
+from sluicegate.sources.run_tables import (
+    drop_run,
+    land_bronze,
+    land_lines,
+    read_run,
+    run_exists,
+    write_run,
+    write_runs,
 )
-from sluicegate.sources.run_tables import land_bronze, land_lines, read_run, write_run, write_runs
 
 __all__ = [
+    "drop_run",
     "flatten_pages",
     "land_bronze",
     "land_lines",
     "page_count_columns",
     "page_counts",
     "page_lines",
+    "read_flagged",
     "read_json",
     "read_pages",
     "read_run",
     "read_table_run",
+    "refuse_lists",
     "register_table",
+    "run_exists",
     "write_run",
     "write_runs",
 ]

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ENVELOPE = "page_records"
+_CORRUPT = "_corrupt_text"
+SOURCE_FILE = "source_file"
+DAMAGED = "damaged"
+
+# Files that are named one by one when they are read again.
+MOST_NAMED = 10_000
+GLOB = re.compile(r"[*?{}\[\]\\]")
 
 
 def read_json(
@@ -33,33 +43,84 @@ def read_json(
     return reader.schema(schema).json(path)
 
 
+def read_flagged(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, *, multi_line: bool = True
+) -> DataFrame:
+    """``read_json`` with each row's file, and whether its document lost anything in the reading.
+
+    ``damaged`` is true for every row of a document that does not parse or holds a value of the wrong
+    shape.  The document's text is not carried along: each of its rows would hold all of it.
+    """
+    rows = read_json(spark, path, schema, multi_line=multi_line, corrupt_column=_CORRUPT)
+    return rows.select(
+        *(F.col(f"`{name}`") for name in schema.names),
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col(_CORRUPT).isNotNull().alias(DAMAGED),
+    )
+
+
+def _pages(spark: SparkSession, path: str | list[str], envelope: str, multi_line: bool) -> DataFrame:
+    """Every page's envelope, and the file it comes from."""
+    return (
+        spark.read.schema(T.StructType([T.StructField(envelope, T.ArrayType(T.StringType()))]))
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
+        .json(path)
+        .select(F.col(f"`{envelope}`").alias(_ENVELOPE), F.col("_metadata.file_path").alias(SOURCE_FILE))
+    )
+
+
+def _refused(texts: DataFrame) -> DataFrame:
+    """No rows, or an error if a text is a list."""
+    refused = F.raise_error(F.lit("a page did not contain a list of records, it is one"))
+    is_list = F.col("value").rlike(r"^\s*\[")
+    return texts.where(F.when(is_list, refused.cast("boolean")).otherwise(F.lit(False)))
+
+
 def read_pages(
     spark: SparkSession,
     path: str | list[str],
     *,
     envelope: str = "products",
     multi_line: bool = True,
+    checked: bool = True,
 ) -> DataFrame:
     """Response pages, each an object that holds a list of records under ``envelope``.
 
     The records stay JSON text, as the file has it.  A page without the envelope (or with a null one)
     has no records.  A page that is not JSON, whose envelope is not a list, or that is a list itself
     fails the read: unlike a bad field, it would lose a whole page of records.
+
+    The reader takes the elements of a root list for pages without an envelope, so finding one takes a second
+    reading of the files as text.  A caller that counts such pages anyway leaves it out, with ``checked=False``, and
+    calls ``refuse_lists`` where there are some.
     """
-    kind = T.ArrayType(T.StringType())
-    pages = (
-        spark.read.schema(T.StructType([T.StructField(envelope, kind)]))
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .json(path)
-        .select(F.col(f"`{envelope}`").alias(_ENVELOPE))
-    )
-    # The reader takes the elements of a root list for pages without an envelope.
-    is_list = F.col("value").rlike(r"^\s*\[")
-    refused = F.raise_error(F.lit("a page did not contain a list of records, it is one"))
-    roots = spark.read.text(path, wholetext=multi_line)
-    none = roots.where(F.when(is_list, refused.cast("boolean")).otherwise(F.lit(False)))
-    return pages.unionAll(none.select(F.lit(None).cast(kind).alias(_ENVELOPE)))
+    pages = _pages(spark, path, envelope, multi_line).select(_ENVELOPE)
+    if not checked:
+        return pages
+    none = _refused(spark.read.text(path, wholetext=multi_line))
+    return pages.unionAll(none.select(F.lit(None).cast(pages.schema[_ENVELOPE].dataType).alias(_ENVELOPE)))
+
+
+def refuse_lists(
+    spark: SparkSession, path: str | list[str], *, envelope: str = "products", multi_line: bool = True
+) -> None:
+    """Raise an error if a page is a list, reading the text of those files only that gave a page without an envelope."""
+    suspects = _pages(spark, path, envelope, multi_line).where(F.col(_ENVELOPE).isNull()).select(SOURCE_FILE).distinct()
+    _refused(texts_of(spark, path, suspects, multi_line=multi_line)).count()
+
+
+def texts_of(
+    spark: SparkSession, path: str | list[str], files: DataFrame, *, multi_line: bool = True
+) -> DataFrame:
+    """The text (``value``) of those files under ``path`` that ``files`` names, one row a file or a line."""
+    few = [row[0] for row in files.select(SOURCE_FILE).limit(MOST_NAMED + 1).collect()]
+    names = [unquote(name) for name in few]
+    named = 0 < len(few) <= MOST_NAMED and not any(GLOB.search(name) for name in names)
+    # Else they are too many to name one by one, or a reader would take their names for patterns.
+    texts = spark.read.text(names if named else path, wholetext=multi_line)
+    texts = texts.select("value", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return texts if named else texts.join(files.select(SOURCE_FILE), SOURCE_FILE, "left_semi")
 
 
 def page_lines(pages: DataFrame) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 # Columns that trace a derived record back to its line item.
 TRACE = ("l_orderkey", "l_linenumber", "l_partkey")
-_POSITION = ("source_file", "source_row")
 
-RECORDS_PER_PAGE = 100
+# Orders whose records share a page, and a document.
+ORDERS_PER_PAGE = 25
+ORDERS_PER_DOCUMENT = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +32,15 @@ def _unless(missing: Column, value: Column) -> Column:
     return F.when(~missing, value)
 
 
-def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw product record per line item, with its trace columns and its position."""
-    items = table(spark, sf_dir, "lineitem").select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.row_index").alias("source_row"),
-    )
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items, spread over all tasks: a small table is one row group, which one task would read and work on."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "lineitem").repartition(width, "l_orderkey", "l_linenumber")
+
+
+def traced_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw product record per line item, with its trace columns."""
+    items = line_items(spark, sf_dir)
     joined = items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
     order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
@@ -48,7 +51,6 @@ def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return joined.select(
         *TRACE,
-        *_POSITION,
         _unless((k % 53 == 0) & (line <= 3), part_text).alias("_id"),
         F.when(k % 53 == 0, F.lit(None).cast("string"))
         .when(k % 59 == 0, F.lit("  "))
@@ -81,27 +83,53 @@ def _derived_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def traced_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product records with their trace columns."""
-    return _derived_products(spark, sf_dir).drop(*_POSITION)
-
-
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw product records only."""
     return traced_products(spark, sf_dir).drop(*TRACE)
 
 
-def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records as response pages of at most ``RECORDS_PER_PAGE``.
+def product_pages(spark: SparkSession, sf_dir: str, extra: bool = False) -> DataFrame:
+    """The records as response pages, each with those of ``ORDERS_PER_PAGE`` neighbouring order keys.
 
-    A page is a run of neighbouring rows of one source file.  Pages are thus bounded
-    whatever the keys look like, and a repeated task puts each record on the same page.
+    With ``extra`` records hold fields that no schema names.
     """
-    records = _derived_products(spark, sf_dir).drop(*TRACE)
-    page_no = F.floor(F.col("source_row") / RECORDS_PER_PAGE)
-    names = [c for c in records.columns if c not in _POSITION]
+    records = traced_products(spark, sf_dir)
+    names = [c for c in records.columns if c not in TRACE]
+    if extra:
+        records = records.withColumn("extra", F.concat(F.lit("x"), F.col("l_orderkey").cast("string")))
+        names.append("extra")
+    page_no = F.floor(F.col("l_orderkey") / ORDERS_PER_PAGE)
     return (
-        records.groupBy("source_file", page_no.alias("page_no"))
+        records.groupBy(page_no.alias("page_no"))
         .agg(F.collect_list(F.struct(*names)).alias("products"))
         .select("products")
     )
+
+
+def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (``document``, ``value``) with lists of records in which much is wrong.
+
+    What is wrong with a record depends on its line number, and with a document on its own number.  Elements are in the
+    order of their texts.
+    """
+    line, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    quantity = F.col("l_quantity").cast("long").cast("string")
+    middle = (
+        F.when(line == 1, F.concat(F.lit('"code":'), part, F.lit(',"nutriments":{"fat_100g":'), quantity, F.lit("}")))
+        .when(line == 2, F.concat(F.lit('"code":"'), part, F.lit('","nutriments":[]')))
+        .when(line == 3, F.concat(F.lit('"code":"'), part, F.lit('","last_modified_t":1.5')))
+        .when(line == 4, F.concat(F.lit('"code":"'), part, F.lit('","last_modified_t":"12","nutriments":{"salt_100g":"35.0"}')))
+        .when(line == 5, F.lit(""))
+        .when(line == 6, F.concat(F.lit('"_id":"'), part, F.lit('","unknown":{"x":1}')))
+        .otherwise(F.concat(F.lit('"code":"'), part, F.lit('","last_modified_t":'), quantity))
+    )
+    elements = line_items(spark, sf_dir).select(
+        F.floor(F.col("l_orderkey") / ORDERS_PER_DOCUMENT).alias("document"),
+        F.concat(F.lit("{"), middle, F.lit("}")).alias("element"),
+    )
+    joined = F.array_join(F.array_sort(F.collect_list("element")), ",")
+    kind = F.col("document") % 5
+    end = F.when(kind == 0, ',{"co').when(kind == 1, ",7]").otherwise("]")
+    return elements.groupBy("document").agg(joined.alias("list")).select(
+        "document", F.concat(F.lit("["), "list", end).alias("value")
+    )

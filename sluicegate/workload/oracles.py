@@ -103,11 +103,10 @@ checked AS (
 )
 
 # Silver: the latest valid row of each key.
-_SILVER = (
-    _CHECKED
-    + """,
-silver AS (
-  SELECT * FROM checked WHERE rejection_reason = ''
+def _latest(name: str, condition: str = "true") -> str:
+    return f"""
+{name} AS (
+  SELECT * FROM checked WHERE rejection_reason = '' AND {condition}
   QUALIFY row_number() OVER (
     PARTITION BY barcode
     ORDER BY source_last_modified_timestamp DESC NULLS LAST,
@@ -118,7 +117,9 @@ silver AS (
       sugars_100g ASC NULLS FIRST
   ) = 1
 )"""
-)
+
+
+_SILVER = f"{_CHECKED},{_latest('silver')}"
 
 _TRACE = "l_orderkey, l_linenumber, l_partkey"
 
@@ -127,18 +128,23 @@ _RAW_COLUMNS = """
   nutrition_grades, last_modified_t, raw_energy AS energy_kcal_100g, raw_fat AS fat_100g,
   raw_proteins AS proteins_100g, raw_salt AS salt_100g, raw_sugars AS sugars_100g"""
 
-_SILVER_COLUMNS = """
+_CLOCK = "CAST(epoch(TIMESTAMP '2024-03-01 12:00:00') AS BIGINT)"
+
+_SILVER_COLUMNS = f"""
   barcode, product_name, brand, categories, countries, ingredients_text, allergens,
   nutrition_grade, source_last_modified_timestamp, energy_kcal_100g, fat_100g,
-  proteins_100g, salt_100g, sugars_100g, completeness_score"""
+  proteins_100g, salt_100g, sugars_100g, completeness_score,
+  CAST(epoch(make_timestamp(source_last_modified_timestamp * 1000000)) AS BIGINT)
+    AS source_last_modified_epoch,
+  'run-a' AS pipeline_run_id, {_CLOCK} AS processed_epoch"""
 
 
 def _mean(column: str, digits: int) -> str:
-    """Exact average, rounded half up."""
-    exact = f"sum(CAST({column} AS DECIMAL(20,6))) / count({column})"
-    return (
-        f"CAST(round(CAST({exact} AS DECIMAL(28,10)), {digits}) AS DOUBLE) AS average_{column}"
-    )
+    """Exact average of values with six decimals, rounded half up once, in whole numbers."""
+    total = f"sum(CAST(CAST({column} AS DECIMAL(20,6)) * 1000000 AS HUGEINT))"
+    many = f"(count({column}) * {10 ** (6 - digits)})"
+    steps = f"sign({total}) * ((2 * abs({total}) + {many}) // (2 * {many}))"
+    return f"CAST({steps} AS DOUBLE) / {10**digits} AS average_{column}"
 
 
 _BRAND_LABEL = "CASE WHEN brand IS NULL OR trim(brand) = '' THEN 'Unknown' ELSE brand END"
@@ -225,6 +231,10 @@ def oracle_sql() -> dict[str, str]:
                   FROM events) AS parsed
             GROUP BY event_type""",
         "page_flatten": _RAW,
+        "page_landing": _from(
+            _BRONZE, f"SELECT {_RAW_COLUMNS}, 'x' || l_orderkey AS extra FROM bronze"
+        ),
+        "json_documents": _DOCUMENTS,
         "bronze_landing": _from(
             _BRONZE,
             f"SELECT {_RAW_COLUMNS}, '2024-03-01' AS ingestion_date, 'run-a' AS run_id "
@@ -233,7 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "run_metadata": _from(
             _BRONZE,
             """SELECT 'run-a' AS run_id, 'line items' AS source, 'all' AS category,
-              100 AS page_size, CAST(ceil(count(*) / 100.0) AS BIGINT) AS page_count,
+              100 AS page_size, count(DISTINCT l_orderkey // 25) AS page_count,
               CAST(0 AS BIGINT) AS empty_envelope_count, count(*) AS record_count,
               CAST(61.26 AS DOUBLE) AS duration_seconds, 'pages' AS product_path
             FROM bronze""",
@@ -253,6 +263,15 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_SILVER_COLUMNS}, '2024-03-01' AS processing_date, 'run-a' AS run_id "
             "FROM silver",
         ),
+        "catalog_evolution": _from(
+            _SILVER,
+            f"""SELECT * REPLACE (NULL AS salt_100g, NULL AS allergens),
+              '2024-03-01' AS processing_date, 'run-a' AS run_id
+            FROM (SELECT {_SILVER_COLUMNS} FROM silver)
+            UNION ALL BY NAME
+            SELECT {_SILVER_COLUMNS}, '2024-03-02' AS processing_date, 'run-b' AS run_id
+            FROM silver""",
+        ),
         "sql_top_brands": _from(
             _GOLD,
             """SELECT brand, product_count, average_sugars_100g, average_energy_kcal_100g
@@ -295,7 +314,7 @@ def oracle_sql() -> dict[str, str]:
             "invalid_sugars_100g, invalid_fat_100g, invalid_proteins_100g, invalid_salt_100g"
         ),
         "rule_range_accounts": """
-            SELECT c_custkey, c_acctbal, 'invalid_c_acctbal' AS rejection_reason
+            SELECT *, 'invalid_c_acctbal' AS rejection_reason
             FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000""",
         "rule_energy_range": _flat("invalid_energy_kcal_100g"),
         "rejection_reason": _flat("rejection_reason"),
@@ -307,7 +326,7 @@ def oracle_sql() -> dict[str, str]:
         + " WHERE rejection_reason = ''",
         "dedup_latest": _SILVER_ROWS,
         "dedup_latest_events": """
-            SELECT event_id, user_id, event_type, value,
+            SELECT event_id, user_id, event_type, value, props,
               CAST(floor(epoch(ts)) AS BIGINT) AS ts_epoch
             FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""",
@@ -316,6 +335,21 @@ def oracle_sql() -> dict[str, str]:
         ),
         "brand_summary_canonical": _from(_GOLD, "SELECT * FROM canonical_gold"),
         "grade_summary": _from(_GOLD, "SELECT * FROM grade_gold ORDER BY nutrition_grade"),
+        "brand_summary_runs": _from(
+            _RUNS,
+            f"""SELECT {_BRAND_LABEL} AS brand, count(DISTINCT barcode) AS product_count,
+              {_mean("completeness_score", 4)}, {_mean("sugars_100g", 2)},
+              {_mean("fat_100g", 2)}, {_mean("energy_kcal_100g", 2)}
+            FROM runs GROUP BY 1""",
+        ),
+        "grade_summary_runs": _from(
+            _RUNS,
+            f"""SELECT {_GRADE_LABEL} AS nutrition_grade,
+              count(DISTINCT barcode) AS product_count,
+              {_mean("sugars_100g", 2)}, {_mean("fat_100g", 2)}, {_mean("salt_100g", 3)},
+              {_mean("energy_kcal_100g", 2)}, {_mean("completeness_score", 4)}
+            FROM runs GROUP BY 1""",
+        ),
         "run_quality": _from(_GOLD, "SELECT * FROM quality_gold"),
         "route_rates": _from(_GOLD, "SELECT acceptance_rate, quarantine_rate FROM rates"),
         "quarantine_breakdown": _from(_GOLD, "SELECT * FROM breakdown"),
@@ -333,28 +367,83 @@ def oracle_sql() -> dict[str, str]:
         ),
         "silver_to_gold": _from(
             _GOLD,
-            """SELECT *, 'brand_summary' AS gold_table FROM brand_gold
-            UNION ALL BY NAME
-            SELECT *, 'brand_summary_canonical' AS gold_table FROM canonical_gold
-            UNION ALL BY NAME
-            SELECT *, 'nutrition_grade_summary' AS gold_table FROM grade_gold
-            UNION ALL BY NAME
-            SELECT *, 'pipeline_quality_summary' AS gold_table FROM quality_gold""",
-        ),
-        "run_report": _from(
-            _GOLD,
-            """SELECT 'run-a' AS run_id, 'success' AS status, 'line items' AS source,
-              'all' AS category,
-              source_record_count AS extracted_record_count,
-              valid_record_count AS silver_record_count,
-              quarantined_record_count, duplicate_record_count,
-              (SELECT count(*) FROM brand_gold) AS brand_summary_count,
-              (SELECT count(*) FROM grade_gold) AS nutrition_grade_summary_count,
-              CAST(3 AS BIGINT) AS gold_table_count,
-              acceptance_rate,
-              (SELECT string_agg(rejection_reason || '=' || record_count, ' | '
-                                 ORDER BY rejection_reason) FROM breakdown)
-                AS quarantine_breakdown
-            FROM rates""",
+            f"""SELECT *, 'run-a' AS run_id, {_CLOCK} AS generated_epoch FROM (
+              SELECT *, 'brand_summary' AS gold_table FROM brand_gold
+              UNION ALL BY NAME
+              SELECT *, 'brand_summary_canonical' AS gold_table FROM canonical_gold
+              UNION ALL BY NAME
+              SELECT *, 'nutrition_grade_summary' AS gold_table FROM grade_gold
+              UNION ALL BY NAME
+              SELECT *, 'pipeline_quality_summary' AS gold_table FROM quality_gold
+            )""",
         ),
+        "run_report": _REPORT,
+        "pages_to_report": _REPORT,
     }
+
+
+_RUNS = f"""{_CHECKED},{_latest("first_run", "l_orderkey % 3 <> 0")},
+{_latest("second_run", "l_orderkey % 3 <> 1")},
+runs AS (SELECT * FROM first_run UNION ALL SELECT * FROM second_run)"""
+
+# Lists of records, most of them with a fault that their line number decides.
+_DOCUMENTS = """
+WITH elements AS (
+  SELECT l_orderkey // 100 AS document, l_linenumber AS line,
+    CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS BIGINT) AS quantity
+  FROM lineitem
+), written AS (
+  SELECT *, '{' || CASE line
+      WHEN 1 THEN '"code":' || part || ',"nutriments":{"fat_100g":' || quantity || '}'
+      WHEN 2 THEN '"code":"' || part || '","nutriments":[]'
+      WHEN 3 THEN '"code":"' || part || '","last_modified_t":1.5'
+      WHEN 4 THEN '"code":"' || part || '","last_modified_t":"12","nutriments":{"salt_100g":"35.0"}'
+      WHEN 5 THEN ''
+      WHEN 6 THEN '"_id":"' || part || '","unknown":{"x":1}'
+      ELSE '"code":"' || part || '","last_modified_t":' || quantity END || '}' AS element
+  FROM elements
+), documents_read AS (
+  SELECT document, document % 5 IN (0, 1) AS refused,
+    document % 5 IN (0, 1) OR bool_or(line IN (2, 3, 4)) AS damaged,
+    count(*) AS n_elements, count(*) FILTER (line = 5) AS n_empty,
+    '[' || string_agg(element, ',' ORDER BY element)
+      || CASE document % 5 WHEN 0 THEN ',{"co' WHEN 1 THEN ',7]' ELSE ']' END AS document_text
+  FROM written GROUP BY document
+), records AS (
+  SELECT CASE WHEN line = 6 THEN part END AS _id,
+    CASE WHEN line NOT IN (5, 6) THEN part END AS code,
+    CASE WHEN line = 7 THEN quantity END AS last_modified_t,
+    CASE WHEN line = 1 THEN CAST(quantity AS DOUBLE) END AS fat_100g
+  FROM elements JOIN documents_read USING (document)
+  WHERE NOT refused AND NOT (damaged AND line = 5)
+)
+SELECT 'record' AS side, _id, code, last_modified_t, fat_100g,
+  CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS VARCHAR) AS brands,
+  CAST(NULL AS VARCHAR) AS categories, CAST(NULL AS VARCHAR) AS countries,
+  CAST(NULL AS VARCHAR) AS ingredients_text, CAST(NULL AS VARCHAR) AS allergens,
+  CAST(NULL AS VARCHAR) AS nutrition_grades, CAST(NULL AS DOUBLE) AS energy_kcal_100g,
+  CAST(NULL AS DOUBLE) AS proteins_100g, CAST(NULL AS DOUBLE) AS salt_100g,
+  CAST(NULL AS DOUBLE) AS sugars_100g, CAST(NULL AS BIGINT) AS row_count,
+  CAST(NULL AS BIGINT) AS lost_row_count, CAST(NULL AS VARCHAR) AS document_text
+FROM records
+UNION ALL BY NAME
+SELECT 'letter' AS side, CASE WHEN refused THEN 1 ELSE n_elements END AS row_count,
+  CASE WHEN refused THEN 1 ELSE n_empty END AS lost_row_count, document_text
+FROM documents_read WHERE damaged"""
+
+_REPORT = _from(
+    _GOLD,
+    """SELECT 'run-a' AS run_id, 'success' AS status, 'line items' AS source,
+      'all' AS category,
+      source_record_count AS extracted_record_count,
+      valid_record_count AS silver_record_count,
+      quarantined_record_count, duplicate_record_count,
+      (SELECT count(*) FROM brand_gold) AS brand_summary_count,
+      (SELECT count(*) FROM grade_gold) AS nutrition_grade_summary_count,
+      CAST(3 AS BIGINT) AS gold_table_count,
+      acceptance_rate,
+      (SELECT string_agg(rejection_reason || '=' || record_count, ' | '
+                         ORDER BY rejection_reason) FROM breakdown)
+        AS quarantine_breakdown
+    FROM rates""",
+)

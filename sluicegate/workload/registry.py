@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,12 @@ from sluicegate.operators import (
     Order,
     accepted_rows,
     add_completeness,
+    failure_breakdown,
     flag_reasons,
     latest_per_key,
     quarantined_rows,
     rates,
-    reason_breakdown,
-    route_counts,
-    run_quality,
+    run_quality_in_one_pass,
     stage_counts,
     stamp_run,
     standardize,
@@ -31,10 +31,11 @@ from sluicegate.plans import (
     PRODUCTS,
     Roots,
     bronze_to_silver,
-    landing_counts,
+    land_documents,
+    land_pages,
     latest_accepted,
+    process_pages,
     process_run,
-    run_metadata,
     silver_to_gold,
     validate,
 )
@@ -45,10 +46,12 @@ from sluicegate.plans.silver_to_gold import (
     QUALITY_TABLE,
     brand_label,
     brand_summary,
+    brand_summary_of_runs,
     canonical_brand_label,
     canonical_brand_summary,
     grade_label,
     grade_summary,
+    grade_summary_of_runs,
 )
 from sluicegate.run import Run
 from sluicegate.session import shared_scratch
@@ -65,6 +68,7 @@ from sluicegate.sources import (
 from sluicegate.workload.inputs import (
     TRACE,
     epoch_seconds,
+    product_documents,
     product_pages,
     products,
     table,
@@ -76,9 +80,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN = Run("run-a", "2024-03-01", datetime(2024, 3, 1, 12, tzinfo=timezone.utc))
 OTHER_RUN = Run("run-b", "2024-03-02", datetime(2024, 3, 2, 12, tzinfo=timezone.utc))
 
-# Clock columns depend on the run, not on the data.
-_CLOCK = ("processed_at", "source_last_modified_at", "pipeline_run_id")
-
 _QUERIES: dict[str, Query] = {}
 
 
@@ -133,8 +134,17 @@ def _rule_failures(rows: DataFrame, *labels: str) -> DataFrame:
     return rows.select(*TRACE, *flags)
 
 
-def _without_clock(rows: DataFrame) -> DataFrame:
-    return rows.drop(*_CLOCK)
+_EPOCHS = {
+    "processed_at": "processed_epoch",
+    "source_last_modified_at": "source_last_modified_epoch",
+    "generated_at": "generated_epoch",
+}
+
+
+def _with_epochs(rows: DataFrame) -> DataFrame:
+    """Timestamps as seconds, which engines print alike."""
+    seconds = {new: F.unix_seconds(old) for old, new in _EPOCHS.items() if old in rows.columns}
+    return rows.withColumns(seconds).drop(*_EPOCHS)
 
 
 # Sources and sinks -----------------------------------------------------------------
@@ -184,36 +194,71 @@ def _bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("run_metadata")
 def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_scratch(spark, "metadata")
-    product_pages(spark, sf_dir).write.json(f"{root}/pages")
-    pages = read_pages(spark, f"{root}/pages", multi_line=False)
-    record = run_metadata(
-        landing_counts(flatten_pages(pages, PRODUCTS.bronze), pages),
+    _landed_pages(spark, sf_dir, root)
+    record = read_run(spark, f"{root}/runs", RUN)
+    # The path below the root that this run drew.
+    landed = F.regexp_extract("product_path", "/([^/]+)/ingestion_date=", 1)
+    return record.withColumn("product_path", landed).drop("started_at", "completed_at", "pages_requested")
+
+
+def _landed_pages(spark: SparkSession, sf_dir: str, root: str, extra: bool = False) -> DataFrame:
+    """Pages landed as records below ``pages``, by a clock of its own; the metadata row."""
+    product_pages(spark, sf_dir, extra).write.json(f"{root}/fetched")
+    clock = iter(
+        (
+            datetime(2024, 3, 1, 11, 59, 0, tzinfo=timezone.utc),
+            datetime(2024, 3, 1, 12, 0, 1, 256000, tzinfo=timezone.utc),
+        )
+    )
+    return land_pages(
+        spark,
+        f"{root}/fetched",
         RUN,
+        f"{root}/pages",
+        f"{root}/runs",
         source="line items",
         category="all",
         page_size=100,
-        started_at=datetime(2024, 3, 1, 11, 59, 0, tzinfo=timezone.utc),
-        completed_at=datetime(2024, 3, 1, 12, 0, 1, 256000, tzinfo=timezone.utc),
-        product_path="pages",
-    )
-    write_run(record, f"{root}/runs", RUN)
-    return read_run(spark, f"{root}/runs", RUN).drop(
-        "started_at", "completed_at", "pages_requested"
+        multi_line=False,
+        clock=lambda: next(clock),
     )
 
 
+@_query("page_landing")
+def _page_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed in their own text: fields that no schema named are read by one that does."""
+    root = shared_scratch(spark, "page-landing")
+    path = _landed_pages(spark, sf_dir, root, extra=True).first()["product_path"]
+    schema = T.StructType([*PRODUCTS.bronze, T.StructField("extra", T.StringType())])
+    return _flat(read_json(spark, path, schema, multi_line=False))
+
+
+@_query("json_documents")
+def _json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with lists of records split into records and dead letters, in one frame."""
+    root = shared_scratch(spark, "documents")
+    # A folder a document, so that each is a file of its own.
+    product_documents(spark, sf_dir).write.partitionBy("document").text(f"{root}/fetched")
+    land_documents(spark, f"{root}/fetched", PRODUCTS.bronze, RUN, f"{root}/records", f"{root}/letters")
+    records = _flat(read_run(spark, f"{root}/records", RUN)).withColumn("side", F.lit("record"))
+    letters = read_run(spark, f"{root}/letters", RUN).drop("source_file").withColumn("side", F.lit("letter"))
+    # The writer of the files has ended each with a line break.
+    letters = letters.withColumn("document_text", F.rtrim("document_text", F.lit("\n")))
+    return records.unionByName(letters, allowMissingColumns=True)
+
+
 @_query("silver_roundtrip")
 def _silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_scratch(spark, "silver")
     write_run(_silver(spark, sf_dir), root, RUN)
-    return _without_clock(read_run(spark, root, RUN))
+    return _with_epochs(read_run(spark, root, RUN))
 
 
 @_query("quarantine_roundtrip")
 def _quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_scratch(spark, "quarantine")
     write_run(quarantined_rows(_rows(spark, sf_dir), PRODUCTS.rules), root, RUN)
-    return _without_clock(read_run(spark, root, RUN))
+    return _with_epochs(read_run(spark, root, RUN))
 
 
 @_query("gold_roundtrip")
@@ -227,19 +272,35 @@ def _gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _registered_silver(spark: SparkSession, sf_dir: str) -> str:
-    """A catalog table that holds two runs of silver."""
+    """A catalog table that holds the same silver under two runs."""
     root = shared_scratch(spark, "catalog")
     name = f"silver_{root.rsplit('-', 1)[-1]}"
-    for run, rows in ((RUN, _silver(spark, sf_dir)), (OTHER_RUN, _rows(spark, sf_dir))):
-        write_run(rows, root, run)
-        register_table(spark, name, root, rows.schema, run)
+    silver = _silver(spark, sf_dir)
+    write_run(silver, root, RUN)
+    write_run(read_run(spark, root, RUN, silver.schema), root, OTHER_RUN)
+    for run in (RUN, OTHER_RUN):
+        register_table(spark, name, root, silver.schema, run)
     return name
 
 
+@_query("catalog_evolution")
+def _catalog_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of one catalog table, of which the later has columns that the earlier lacks."""
+    root = shared_scratch(spark, "evolution")
+    name = f"evolved_{root.rsplit('-', 1)[-1]}"
+    silver = _silver(spark, sf_dir)
+    write_run(silver, root, OTHER_RUN)
+    fewer = read_run(spark, root, OTHER_RUN, silver.schema).drop("salt_100g", "allergens")
+    write_run(fewer, root, RUN)
+    register_table(spark, name, root, fewer.schema, RUN)
+    register_table(spark, name, root, silver.schema, OTHER_RUN)
+    return _with_epochs(spark.table(name))
+
+
 @_query("partition_pruned_scan")
 def _partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _registered_silver(spark, sf_dir)
-    return _without_clock(read_table_run(spark, name, RUN))
+    return _with_epochs(read_table_run(spark, name, RUN))
 
 
 @_query("sql_top_brands")
@@ -369,8 +430,7 @@ def _rule_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rule_range_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range rule on another table: customers by account balance."""
     rules = [Between("c_acctbal", 0, 9000, "invalid_c_acctbal")]
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return quarantined_rows(customers, rules)
+    return quarantined_rows(table(spark, sf_dir, "customer"), rules)
 
 
 @_query("rule_energy_range")
@@ -401,13 +461,13 @@ def _route_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("dedup_latest")
 def _dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _without_clock(_silver(spark, sf_dir))
+    return _with_epochs(_silver(spark, sf_dir))
 
 
 @_query("dedup_latest_events")
 def _dedup_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same operator on another table: each user's last event."""
-    events = table(spark, sf_dir, "events").drop("props")
+    events = table(spark, sf_dir, "events")
     latest = latest_per_key(events, ("user_id",), (Order("ts", descending=True), Order("event_id")))
     return latest.withColumn("ts_epoch", epoch_seconds(F.col("ts"))).drop("ts")
 
@@ -433,9 +493,25 @@ def _grade_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("run_quality")
 def _run_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows(spark, sf_dir)
-    counts = route_counts(rows, PRODUCTS.rules)
-    return run_quality(latest_accepted(rows, PRODUCTS), counts)
+    return run_quality_in_one_pass(_rows(spark, sf_dir), PRODUCTS.rules, PRODUCTS.key, PRODUCTS.latest)
+
+
+def _silver_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of two runs, each of two thirds of the orders."""
+    rows = stamp_run(_traced_rows(spark, sf_dir), RUN)
+    thirds = (rows.where(F.col("l_orderkey") % 3 != left_out) for left_out in (0, 1))
+    return reduce(DataFrame.unionAll, (latest_accepted(third, PRODUCTS) for third in thirds))
+
+
+@_query("brand_summary_runs")
+def _brand_summary_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keys and averages per brand over two runs, from one exchange by key."""
+    return brand_summary_of_runs(_silver_of_runs(spark, sf_dir), "barcode")
+
+
+@_query("grade_summary_runs")
+def _grade_summary_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grade_summary_of_runs(_silver_of_runs(spark, sf_dir), "barcode")
 
 
 @_query("route_rates")
@@ -446,7 +522,7 @@ def _route_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("quarantine_breakdown")
 def _quarantine_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reason_breakdown(quarantined_rows(_rows(spark, sf_dir), PRODUCTS.rules))
+    return failure_breakdown(_rows(spark, sf_dir), PRODUCTS.rules)
 
 
 @_query("stage_counts")
@@ -475,7 +551,7 @@ def _bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_to_silver(bronze, PRODUCTS, RUN, roots.silver, roots.quarantine)
     silver = read_run(spark, roots.silver, RUN).withColumn("side", F.lit("silver"))
     rejected = read_run(spark, roots.quarantine, RUN).withColumn("side", F.lit("quarantine"))
-    return _without_clock(silver.unionByName(rejected, allowMissingColumns=True))
+    return _with_epochs(silver.unionByName(rejected, allowMissingColumns=True))
 
 
 @_query("silver_to_gold")
@@ -498,14 +574,14 @@ def _silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in (BRAND_TABLE, CANONICAL_BRAND_TABLE, GRADE_TABLE, QUALITY_TABLE)
     )
     union = brands
-    for other in (canonical, grades, quality.drop("generated_at")):
+    for other in (canonical, grades, quality):
         union = union.unionByName(other, allowMissingColumns=True)
-    return union
+    return _with_epochs(union)
 
 
 @_query("run_report")
 def _run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of a whole run from landed records, its map written out as text."""
+    """The report of a whole run from landed records."""
     base = shared_scratch(spark, "run")
     report = process_run(
         spark,
@@ -516,6 +592,29 @@ def _run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         category="all",
         multi_line=False,
     )
+    return _flat_report(report)
+
+
+@_query("pages_to_report")
+def _pages_to_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain, from fetched pages to the report."""
+    base = shared_scratch(spark, "pages-to-report")
+    product_pages(spark, sf_dir).write.json(f"{base}/fetched")
+    report = process_pages(
+        spark,
+        f"{base}/fetched",
+        RUN,
+        Roots.under(base),
+        source="line items",
+        category="all",
+        page_size=100,
+        multi_line=False,
+    )
+    return _flat_report(report)
+
+
+def _flat_report(report: DataFrame) -> DataFrame:
+    """A report without its clock and paths, its map written out as text."""
     pairs = F.transform(
         F.array_sort(F.map_entries("quarantine_breakdown")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),

@@ -1,12 +1,23 @@
 from __future__ import annotations
 
 import random
+from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluicegate.functions import Between
-from sluicegate.operators import Order, latest_per_key, route_counts, stage_counts
+from sluicegate.operators import (
+    Order,
+    latest_and_counts,
+    latest_per_key,
+    route_counts,
+    run_quality,
+    run_quality_in_one_pass,
+    stage_counts,
+)
 from sluicegate.plans import PRODUCTS, latest_accepted, validate
+from sluicegate.workload.registry import queries
 from tests.conftest import plan_of, record
 
 
@@ -99,3 +110,41 @@ def test_null_keys_count_as_one_key_in_both(spark):
     rules = (Between("t", 0, 10, "t_out"),)
     assert stage_counts(rows, rules, ("k",)).first().valid_record_count == 2
     assert latest_per_key(rows, ("k",), order).count() == 2
+
+
+def test_one_exchange_gives_latest_rows_and_counts(spark):
+    """Against the window, with a hot key, a third rejected, ties, nulls and every type that can descend."""
+    rng = random.Random(11)
+    days = [None, *(datetime(2024, 1, d, 3) for d in range(1, 9))]
+    data = []
+    for i in range(3000):
+        at = rng.choice(days)
+        key = "hot" if i % 3 == 0 else rng.choice([None, f"k{rng.randrange(300)}"])
+        data.append((key, at, at and at.date(), rng.choice([None, -(2**63), 2**63 - 1, 5]), 900.0 if i % 3 == 1 else 1.0, f"v{rng.randrange(9)}"))
+    rows = spark.createDataFrame(data, "k string, at timestamp, day date, n long, x double, v string").repartition(5)
+    rules = [Between("x", 0, 5, "x_out")]
+    for descending in (("at", "n"), ("day", "at"), ("n", "day")):
+        order = [*(Order(c, descending=True) for c in descending), Order("v"), Order("at"), Order("n")]
+        keyed = latest_and_counts(rows, rules, ["k"], order, rows.columns)
+        found = {tuple(r) for r in keyed.where("kept").select("latest.*").collect()}
+        assert found == {tuple(r) for r in latest_per_key(rows.where("x <= 5"), ["k"], order).collect()}
+        assert {tuple(r) for r in keyed.where("not kept").select("k", "row_count", "latest").collect()} == {(None, 1000, None)}
+    with pytest.raises(ValueError, match="descending"):
+        latest_and_counts(rows, rules, ["k"], [Order("v", descending=True)], ["v"])
+    assert date(2024, 1, 1) in {r.day for r in rows.collect()}
+
+
+def test_quality_in_one_pass(spark, bronze, run):
+    for records in ([], [record(code=" ")], [record(code="a"), record(code="a", last_modified_t=9, brands=None), record(fat_100g=-1.0)]):
+        rows = validate(bronze(record(), *records).where("code <> 'c1' or code is null"), PRODUCTS, run)
+        expected = run_quality(latest_accepted(rows, PRODUCTS), route_counts(rows, PRODUCTS.rules))
+        found = run_quality_in_one_pass(rows, PRODUCTS.rules, PRODUCTS.key, PRODUCTS.latest)
+        assert found.schema.names == expected.schema.names and found.collect() == expected.collect()
+
+
+def test_run_quality_reads_and_shuffles_once(spark):
+    plan = plan_of(queries()["run_quality"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan") == 2  # line items and parts
+    keyed = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # One spreads the line items over the tasks before records are made of them.
+    assert len(keyed) == 2 and sum("l_orderkey" in line for line in keyed) == 1

@@ -3,10 +3,24 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from sluicegate.functions import Between, Required, passes_all, rejection_reason
-from sluicegate.operators import accepted_rows, quarantined_rows, with_route
+from sluicegate.functions import (
+    Between,
+    Required,
+    failure_mask,
+    passes_all,
+    reasons_in,
+    rejection_reason,
+)
+from sluicegate.operators import (
+    accepted_rows,
+    failure_breakdown,
+    quarantined_rows,
+    reason_breakdown,
+    with_route,
+)
 from sluicegate.plans import PRODUCTS, validate
-from tests.conftest import record
+from sluicegate.workload.registry import queries
+from tests.conftest import plan_of, record
 
 ALL_LABELS = (
     "missing_barcode; missing_product_name; invalid_sugars_100g; invalid_fat_100g; "
@@ -115,3 +129,37 @@ def test_fails_is_never_null(spark):
     rules = (Required("name", "a"), Between("n", 0, 5, "b"))
     flags = rows.select(*(F.isnull(r.fails()).alias(r.label) for r in rules)).first()
     assert tuple(flags) == (False, False)
+
+
+def test_reasons_of_a_mask_equal_the_reasons(spark, bronze, run):
+    changes = [{}, {"code": " "}, {"product_name": None, "fat_100g": 500.0}, {"energy_kcal_100g": -1.0, "sugars_100g": 101.0}]
+    rows = validate(bronze(*(record(**c) for c in changes)), PRODUCTS, run)
+    mask = failure_mask(PRODUCTS.rules)
+    for row in rows.select(rejection_reason(PRODUCTS.rules), reasons_in(mask, PRODUCTS.rules), mask).collect():
+        assert row[0] == row[1] and (row[2] == 0) == (row[0] == "")
+    with pytest.raises(ValueError, match="63"):
+        failure_mask([Required("x", "y")] * 64)
+    with pytest.raises(ValueError, match="label"):
+        failure_mask([Required("x", "")])
+
+
+def test_breakdown_of_masks_equals_that_of_reasons(spark):
+    rows = spark.createDataFrame([(1, "x"), (9, None), (9, "y"), (None, " "), (2, None)], "n int, name string")
+    rules = (Required("name", "same"), Between("n", 0, 5, "out"), Between("n", 0, 1, "same"))
+    found = {tuple(r) for r in failure_breakdown(rows, rules).collect()}
+    assert found == {tuple(r) for r in reason_breakdown(quarantined_rows(rows, rules)).collect()}
+    assert ("same; out; same", 1) in found and ("same", 1) in found
+
+
+def _evaluations(frame) -> int:
+    """How often the plan works out the rule on sugars."""
+    return plan_of(frame).count("> 100.0") // 4
+
+
+@pytest.mark.parametrize("name", ["route_quarantine", "route_accepted", "rejection_reason", "quarantine_breakdown", "dedup_latest"])
+def test_each_rule_is_worked_out_once(spark, name):
+    assert _evaluations(queries()[name](spark, "/root/testdata/sf0.001")) == 1
+
+
+def test_both_routes_work_a_rule_out_once(spark, bronze, run):
+    assert _evaluations(with_route(validate(bronze(record()), PRODUCTS, run), PRODUCTS.rules)) == 1

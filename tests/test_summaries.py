@@ -24,11 +24,14 @@ from sluicegate.plans.record_plan import (
 )
 from sluicegate.plans.silver_to_gold import (
     brand_summary,
+    brand_summary_of_runs,
     canonical_brand_label,
     canonical_brand_summary,
     grade_summary,
+    grade_summary_of_runs,
     product_facts,
 )
+from tests.conftest import plan_of
 
 SCHEMA = (
     "barcode string, brand string, nutrition_grade string, energy_kcal_100g double, "
@@ -219,3 +222,35 @@ def test_breakdown_counts_exact_combinations(spark):
 def test_top_groups_break_ties_by_name(spark):
     rows = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "brand string, product_count int")
     assert [r.brand for r in top_groups(rows, "brand", 2).collect()] == ["c", "a"]
+
+
+@pytest.mark.parametrize(("sign", "expected"), [(1, 0.1234), (-1, -0.1234)])
+def test_a_mean_just_below_a_tie_is_rounded_down(spark, sign, expected):
+    # 99,999 values at the tie and one a millionth below: the mean lies 10^-11 below it.
+    frame = spark.range(100_000).selectExpr(f"{sign} * if(id = 0, 0.123449D, 0.12345D) AS x")
+    assert frame.agg(Average("x", 4).of_rows()).first()[0] == expected
+    tie = spark.range(100_000).selectExpr(f"{sign} * 0.12345D AS x")
+    assert tie.agg(Average("x", 4).of_rows()).first()[0] == sign * 0.1235
+
+
+@pytest.mark.parametrize(("scale", "digits"), [(6, 0), (6, 2), (6, 6), (10, 4), (10, 10)])
+def test_means_are_rounded_once(spark, scale, digits):
+    rng = random.Random(scale + digits)
+    unit = Decimal(1).scaleb(-scale)
+    for size in (1, 3, 7, 640):
+        values = [Decimal(rng.randrange(-(10**8), 10**8)) * unit for _ in range(size)]
+        frame = spark.createDataFrame([(v,) for v in values], f"x decimal(20,{scale})")
+        exact = (sum(values) / size).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+        assert frame.agg(Average("x", digits, scale=scale).of_rows()).first()[0] == float(exact)
+
+
+def test_distinct_keys_of_several_runs(spark, data):
+    """Keys stand in two runs, some under another brand or grade there."""
+    rng = random.Random(9)
+    again = [(row[0], rng.choice([row[1], "Other"]), rng.choice([row[2], "z"]), *row[3:]) for row in data[:2000]]
+    both = spark.createDataFrame([*data, *again], SCHEMA).repartition(3)
+    assert _found(brand_summary_of_runs(both, "barcode")) == _found(brand_summary(both, key="barcode"))
+    assert _found(grade_summary_of_runs(both, "barcode")) == _found(grade_summary(both, key="barcode"))
+    plan = plan_of(brand_summary_of_runs(both.select("*"), "barcode"))
+    keyed = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "barcode" in line]
+    assert len(keyed) == 1
