@@ -60,8 +60,8 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder the cluster names in ``spark.checkpoint.dir``.
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder below which all scratch tables are, in the one the cluster names in ``spark.checkpoint.dir``.
 
     Executors must be able to read what other executors wrote there.  Only a local
     session, where driver and executor are one process, may do without the setting.
@@ -74,12 +74,18 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
         if context.applicationId not in _local_roots:
             _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="sluicegate-")
         root = _local_roots[context.applicationId]
-    return f"{root.rstrip('/')}/sluicegate/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/sluicegate"
+
+
+def shared_scratch(spark: SparkSession, label: str) -> str:
+    """A fresh path in the folder that executors share."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def discard_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table written under ``shared_scratch``, on whatever file system it is."""
-    if "/sluicegate/" not in path:
+    parent, _, name = path.rpartition("/")
+    if parent != _scratch_root(spark) or not name:
         raise ValueError(f"{path} is not a scratch path")
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
