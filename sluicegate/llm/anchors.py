@@ -90,7 +90,8 @@ def repeated(rows: DataFrame, label: str) -> DataFrame:
         .sortWithinPartitions("hash")
         .mapInArrow(run, f"id {kind}, tie long, pos int")
     )
-    return stored(found.groupBy("id", "tie").agg(F.collect_list("pos").alias("places")), label)
+    # Equal rows send equal anchors, which are one place.
+    return stored(found.groupBy("id", "tie").agg(F.collect_set("pos").alias("places")), label)
 
 
 def joined(texts: DataFrame, facts: DataFrame, how: str) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.session import shared_scratch
+from sluicegate.session import discard_scratch, shared_scratch
 
 # Bytes of text whose arrays are held at once; a longer text is one chunk of its own.
 CHUNK_BYTES = 1 << 21
@@ -24,17 +25,36 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+# Folders of stored frames that go when the innermost ``passing`` block ends.
+_passing: list[list[str]] = []
+
+
+def stored(frame: DataFrame, label: str, *, keep: bool = False) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
     Later stages then start from files that every executor can read, whichever
-    executors have been lost meanwhile.
+    executors have been lost meanwhile.  Within a ``passing`` block it is deleted with the block, or, if it is to be
+    kept, with the block around that one.
     """
     path = shared_scratch(frame.sparkSession, label)
+    blocks = _passing[:-1] if keep else _passing
+    if blocks:
+        blocks[-1].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Delete what is stored in the block when it ends; its result must be written by then, and kept."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            discard_scratch(spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

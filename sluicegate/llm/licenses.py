@@ -1,8 +1,8 @@
 """License notices found by ordered signature rules.
 
 A text is reduced to its words in lower case.  Each of some hundred rules is a regular expression over them with
-a label, a priority and a keyword without which it cannot match; only rules whose keyword
-the text has are tried, so most texts try none.  Of two detections one of which lies
+a label, a priority, and keywords one of which it needs as a word of the text, as a mention of a license also needs
+"under" or "license"; only rules whose words the text has are tried, so most texts try none.  Of two detections one of which lies
 within the other, the inner one goes unless its rule has the higher priority.  The score is
 the confidence of the strongest rule that is left.
 
@@ -14,11 +14,15 @@ Repeated rows and null ids are returned as they are.  An empty table gives no ro
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Letters whose lower case begins with one of a to z.
+TO_ASCII = ("\u0130", "\u212a")
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # The phrases whose places are counted, and their labels.
@@ -56,7 +60,7 @@ LICENSES = (
     ("lgpl-2.1", "lesser", "gnu lesser general public license(?: version| v)? ?2(?: 1)?", "lgpl 2 1"),
     ("lgpl-3", "lgpl", "(?:gnu )?lgpl(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
     ("lgpl-3", "lesser", "gnu lesser general public license(?: version| v)? ?3(?: 0)?", "lgpl 3 0"),
-    ("lgpl", "lesser", "gnu (?:lesser|library) general public license", "lgpl"),
+    ("lgpl", "gnu", "gnu (?:lesser|library) general public license", "lgpl"),
     ("agpl-3", "affero", "(?:gnu )?affero general public license(?: version| v)?(?: ?3(?: 0)?)?", "agpl 3 0(?: only| or later)?"),
     ("agpl-3", "agpl", "(?:gnu )?agpl(?: version| v)?(?: ?3(?: 0)?)?", "agpl 3 0"),
     ("gfdl", "documentation", "gnu free documentation license", "gfdl 1 [123]"),
@@ -129,27 +133,43 @@ NOTICES = (
     ("proprietary", "prohibited", "unauthorized copying of this file via any medium is strictly prohibited"),
 )
 
-# How licenses are mentioned: priority and form.  NAME and SPDX stand for the words above.
+# How licenses are mentioned: priority, form, and words one of which the form needs.  NAME and SPDX stand for the words above.
+LICENSE_WORDS = ("license", "licence", "licenses", "licences")
 MENTIONS = (
-    (4, "spdx license identifiers? SPDX"),
-    (3, "(?:licensed|released|distributed|available|published|provided) under (?:(?:the|a|an) )?(?:terms of (?:the )?)?NAME(?: licen[cs]es?)?"),
-    (2, "under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]es?)?"),
-    (1, "NAME(?: style)? licen[cs]es?"),
+    (4, "spdx license identifiers? SPDX", ("identifier", "identifiers")),
+    (3, "(?:licensed|released|distributed|available|published|provided) under (?:(?:the|a|an) )?(?:terms of (?:the )?)?NAME(?: licen[cs]es?)?", ("under",)),
+    (2, "under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]es?)?", ("under",)),
+    (1, "NAME(?: style)? licen[cs]es?", LICENSE_WORDS),
 )
+# Names that also are plain words or products, which only name a license before the word itself.
+PLAIN_NAMES = ("mit", "expat", "x11", "isc", "zlib", "boost", "ruby", "postgresql", "openssl", "curl")
 NOTICE_PRIORITY = 5
 BASE_PRIORITY = 6
 # Confidence by priority, from a bare mention to a license's own text.
 CONFIDENCE = (0.0, 0.6, 0.75, 0.9, 0.95, 0.97, 1.0)
 
 
+def gate_words(keyword: str) -> list[str]:
+    """The words by which a keyword may stand in a text: alone, run together with a version, or in a known compound."""
+    versions = [f"{keyword}{v}{n}" for v in ("", "v") for n in ("1", "2", "3")]
+    compounds = [word for word in ("freebsd", "0bsd") if keyword in word]
+    return [keyword, f"{keyword}v", *versions, *compounds]
+
+
+def _named(form: str, name: str, keyword: str, label: str) -> str:
+    if keyword in PLAIN_NAMES and label == keyword or keyword == "expat":
+        form = form.replace("NAME(?: licen[cs]es?)?", "NAME licen[cs]es?")
+    return form.replace("NAME", name)
+
+
 def rules() -> list[dict]:
     """All rules in order: base phrases, notices, then every license in every form of mention."""
-    found = [(BASE_PRIORITY, label, phrase, phrase) for phrase, label in BASE_PHRASES]
-    found += [(NOTICE_PRIORITY, label, word, text) for label, word, text in NOTICES]
-    for priority, form in MENTIONS:
+    found = [(BASE_PRIORITY, label, label.split("-")[0], phrase, ()) for phrase, label in BASE_PHRASES]
+    found += [(NOTICE_PRIORITY, label, word, text, ()) for label, word, text in NOTICES]
+    for priority, form, needs in MENTIONS:
         for label, word, name, spdx in LICENSES:
             keyword = "spdx" if "SPDX" in form else word
-            found.append((priority, label, keyword, form.replace("NAME", name).replace("SPDX", spdx)))
+            found.append((priority, label, keyword, _named(form, name, word, label).replace("SPDX", spdx), needs))
     return [
         {
             "rule": at,
@@ -157,13 +177,15 @@ def rules() -> list[dict]:
             "priority": priority,
             "label": label,
             "keyword": keyword,
+            "keywords": gate_words(keyword),
+            "needs": list(needs),
             "pattern": f"(?<= ){pattern}(?= )",
         }
-        for at, (priority, label, keyword, pattern) in enumerate(found)
+        for at, (priority, label, keyword, pattern, needs) in enumerate(found)
     ]
 
 
-RULE_TYPE = "array<struct<rule:int,base:boolean,priority:int,label:string,keyword:string,pattern:string>>"
+RULE_TYPE = "array<struct<rule:int,base:boolean,priority:int,label:string,keywords:array<string>,needs:array<string>,pattern:string>>"
 SPAN_TYPE = "array<struct<start:long,before_end:long,lower:int,rule:int,base:boolean,label:string>>"
 
 
@@ -247,22 +269,33 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """
     table = rules()
     signatures = F.from_json(F.lit(json.dumps(table)), RULE_TYPE)
-    keywords = "|".join(sorted({rule["keyword"] for rule in table}))
-    lowered = F.translate(F.coalesce(F.col(text_column).cast("string"), F.lit("")), UPPER, UPPER.lower())
-    joined = F.trim(F.regexp_replace(lowered, NOT_WORD, " "))
-    tried = F.filter(signatures, lambda rule: F.contains(F.col("words"), rule["keyword"]))
+    gates = sorted({word for rule in table for word in (*rule["keywords"], *rule["needs"])})
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    # Lower case of all letters costs less than of A to Z alone, and no word of a rule differs, unless a letter beyond ASCII
+    # has one within it.
+    alike = reduce(and_, (~F.contains(text, F.lit(letter)) for letter in TO_ASCII))
+    lowered = F.when(alike, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+    pieces = F.split(lowered, NOT_WORD)
+    gated = F.array_intersect("pieces", F.array(*(F.lit(word) for word in gates)))
+    joined = F.array_join(F.array_remove("pieces", ""), " ")
+    tried = F.filter(
+        signatures,
+        lambda rule: F.arrays_overlap(F.col("gated"), rule["keywords"])
+        & ((F.size(rule["needs"]) == 0) | F.arrays_overlap(F.col("gated"), rule["needs"])),
+    )
+    none = F.array().cast(SPAN_TYPE)
     spans = F.sort_array(F.flatten(F.transform(tried, lambda rule: _spans(F.col("words"), rule))))
     return (
-        docs.select(F.col(id_column), F.concat(F.lit(" "), joined, F.lit(" ")).alias("words"))
-        .withColumn(
-            "spans",
-            F.when(F.col("words").rlike(keywords), spans).otherwise(F.array().cast(SPAN_TYPE)),
-        )
-        .withColumn("n_words", F.when(F.col("words") == "  ", 0).otherwise(_spaces(F.col("words")) - 1).cast("long"))
+        docs.select(F.col(f"`{id_column}`"), pieces.alias("pieces"))
+        # Only the first and the last piece can be empty.
+        .withColumn("n_words", F.size(F.array_remove("pieces", "")).cast("long"))
+        .withColumn("gated", gated)
+        .withColumn("words", F.when(F.size("gated") > 0, F.concat(F.lit(" "), joined, F.lit(" "))))
+        .withColumn("spans", F.when(F.size("gated") > 0, spans).otherwise(none))
         .withColumn("base_spans", F.filter("spans", lambda span: span["base"]))
         .withColumn("outer", _outermost(F.col("spans")))
         .select(
-            id_column,
+            F.col(f"`{id_column}`"),
             "n_words",
             F.size("base_spans").cast("long").alias("n_base"),
             F.array_min(F.transform("base_spans", lambda s: s["start"])).alias("first_word"),

@@ -7,10 +7,12 @@ window removes a word more, so it ends there, or at the level where nothing is l
 * Quarter windows: of all that a full window holds, its anchor stands for it.  Their hashes are shuffled once.
 * Half windows: full windows around a repeated anchor are anchored anew by their half windows.  Each
   is sent with the hashes of the full windows that it anchors.
-* Full windows: all but the first place of each, in order of id and place, are removed.
+* Full windows: among equal half windows, in order of id and place, a full window seen before is removed.
 
-A window is told by the hash of its words and of the half window in it, 128 bits together.  Its first place is aggregated
-before the shuffle, so no task holds the places or windows of a group.
+A window is told by the hash of its words and of the half window in it, 128 bits together.  Equal half windows stream
+past in order, so a task holds the distinct windows of one of them.  Half windows of more than ``FREQUENT`` rows, as around a
+passage in a third of all documents, go another way to the same result: the first place of each of their windows is
+aggregated from the map tasks on, and joined back.
 
 Null, empty, blank and short texts lose nothing.  Very long texts are handled whole.  Null ids come
 first in order.  Rows equal in id and text are one document.  An empty table gives no rows.
@@ -33,7 +35,17 @@ from sluicegate.llm.anchors import (
     repeated,
     whole_windows,
 )
-from sluicegate.llm.frames import chunks, span_hashes, stored, word_hashes
+from sluicegate.llm.frames import (
+    chunks,
+    covered,
+    passing,
+    span_hashes,
+    stored,
+    word_hashes,
+)
+
+# Rows of a half window from which its places are aggregated and not streamed.
+FREQUENT = 10_000
 
 
 def _hashed(codes: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -111,10 +123,79 @@ def _send_halves(window: int):
     return run
 
 
-def _later_windows(halves: DataFrame) -> DataFrame:
-    """Id, tie and start of every full window that stands earlier.
+def _without_repeats(batch: pa.RecordBatch, last: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
+    """Leave out rows that are the row before them again, which one document in several rows sends."""
+    names = ["hash", "id", "tie", "pos"]
+    same = np.ones(batch.num_rows, bool)
+    for name in names:
+        codes = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        same[1:] &= codes[1:] == codes[:-1]
+    same[0] = last == tuple(batch.column(name)[0].as_py() for name in names)
+    end = batch.num_rows - 1
+    return (
+        batch.filter(pa.array(~same)) if same.any() else batch,
+        tuple(batch.column(name)[end].as_py() for name in names),
+    )
+
 
-    The first place of a window is an aggregate that starts in the map tasks; a frequent window's places are split by the join.
+def _later_in_groups(window: int):
+    """Spans of the windows that an earlier row of their half window has; groups stream past in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = np.empty(0, np.int64)
+        seen = np.empty(0, np.int64)  # full windows of the group that the last batch ended in
+        last_row = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch, last_row = _without_repeats(batch, last_row)
+            if not batch.num_rows:
+                continue
+            half = batch.column("hash").to_numpy()
+            offsets = batch.column("full").offsets.to_numpy()
+            offsets = offsets - offsets[0]
+            row = np.repeat(np.arange(len(half)), np.diff(offsets))
+            full = batch.column("full").flatten().to_numpy()
+            # Number the groups; what was seen stands before the first row's.
+            number = np.concatenate(([0], np.cumsum(half[1:] != half[:-1])))
+            carried = seen if len(group) and group[0] == half[0] else seen[:0]
+            owner = np.concatenate((np.zeros(len(carried), np.int64), number[row]))
+            value = np.concatenate((carried, full))
+            order = np.lexsort((value, owner))
+            fresh = np.ones(len(value), bool)
+            fresh[order[1:]] = (value[order[1:]] != value[order[:-1]]) | (
+                owner[order[1:]] != owner[order[:-1]]
+            )
+            last = owner == number[-1]
+            group, seen = half[-1:], np.unique(value[last])
+            at = np.flatnonzero(~fresh[len(carried) :])
+            if not len(at):
+                continue
+            begin = batch.column("pos").to_numpy()[row[at]] - batch.column("back").flatten().to_numpy()[at]
+            # Spans of different rows are kept apart by a distance that no text has.
+            apart = row[at].astype(np.int64) << 40
+            low, high = covered(apart + begin, apart + begin + window)
+            mine = low >> 40
+            rows, first = np.unique(mine, return_index=True)
+            cut = pa.array(np.append(first, len(mine)).astype(np.int32))
+            mask = (1 << 40) - 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").take(pa.array(rows)),
+                    batch.column("tie").take(pa.array(rows)),
+                    pa.ListArray.from_arrays(cut, pa.array((low & mask).astype(np.int32))),
+                    pa.ListArray.from_arrays(cut, pa.array((high & mask).astype(np.int32))),
+                ],
+                ["id", "tie", "begins", "ends"],
+            )
+
+    return run
+
+
+def _later_of_frequent(halves: DataFrame, window: int) -> DataFrame:
+    """The same for half windows of very many rows.
+
+    The first place of a full window is an aggregate that starts in the map tasks; a frequent window's places are split by the join.
     """
     full = F.explode(F.arrays_zip("back", "full")).alias("w")
     windows = halves.select("hash", "id", "tie", "pos", full).select(
@@ -122,33 +203,48 @@ def _later_windows(halves: DataFrame) -> DataFrame:
         F.col("w.full").alias("full"),
         F.struct("id", "tie", (F.col("pos") - F.col("w.back")).alias("begin")).alias("place"),
     )
-    windows = stored(windows, "windows")
     # Null ids are the least of structs.
     earliest = windows.groupBy("hash", "full").agg(F.min("place").alias("least"), F.max("place").alias("most"))
     earliest = earliest.where("least <> most").drop("most").hint("merge")
-    return windows.join(earliest, ["hash", "full"]).where("place > least").select("place.*")
+    later = windows.join(earliest, ["hash", "full"]).where("place > least").select("place.*")
+    spans = later.groupBy("id", "tie").agg(F.collect_set("begin").alias("begins"))
+    return spans.withColumn("ends", F.transform("begins", lambda x: (x + window).cast("int")))
 
 
-def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
+def repeated_windows(texts: DataFrame, window: int, frequent: int = FREQUENT) -> DataFrame:
     """Per keyed document the word spans that stand earlier: lists of lists ``begins``, ``ends``."""
     if window % 4:
         raise ValueError("the window must be a multiple of four words")
     kind = texts.schema["id"].dataType.simpleString()
-    quarters = texts.mapInArrow(_send_quarters(window), f"hash long, id {kind}, tie long, pos int")
-    places = repeated(quarters, "quarter-windows")
-    halves = joined(texts, places, "inner").mapInArrow(
-        _send_halves(window),
-        f"hash long, id {kind}, tie long, pos int, back array<short>, full array<long>",
-    )
-    # Places of a document that several rows hold come once for each; their union is the same.
-    begin = F.collect_list("begin")
-    spans = _later_windows(halves).groupBy("id", "tie").agg(begin.alias("begin"))
-    end = F.transform("begin", lambda x: (x + window).cast("int"))
-    return stored(spans.select("id", "tie", F.array("begin").alias("begins"), F.array(end).alias("ends")), "later-windows")
+    with passing(texts.sparkSession):
+        quarters = texts.mapInArrow(_send_quarters(window), f"hash long, id {kind}, tie long, pos int")
+        places = repeated(quarters, "quarter-windows")
+        sent = joined(texts, places, "inner").mapInArrow(
+            _send_halves(window),
+            f"hash long, id {kind}, tie long, pos int, back array<short>, full array<long>",
+        )
+        halves = stored(sent, "half-windows")
+        many = halves.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > frequent).select("hash")
+        many = stored(many, "frequent-windows")
+        grouped = halves if many.isEmpty() else halves.join(many, "hash", "left_anti")
+        spans = (
+            grouped.repartition("hash")
+            .sortWithinPartitions("hash", F.col("id").asc_nulls_first(), "tie", "pos")
+            .mapInArrow(_later_in_groups(window), f"id {kind}, tie long, begins array<int>, ends array<int>")
+        )
+        if grouped is not halves:
+            spans = spans.unionByName(_later_of_frequent(halves.join(many, "hash", "left_semi"), window))
+        lists = (F.collect_list(c).alias(c) for c in ("begins", "ends"))
+        return stored(spans.groupBy("id", "tie").agg(*lists), "later-windows", keep=True)
 
 
 def deduplicate(
-    docs: DataFrame, *, window: int = 20, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    *,
+    window: int = 20,
+    frequent: int = FREQUENT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """One row per document: the id, ``n_words``, ``n_removed``, and the ``text`` that is kept.
 
@@ -166,7 +262,7 @@ def deduplicate(
         return len(words), len(words) - len(left), b" ".join(left).decode()
 
     texts = keyed(docs, id_column, text_column)
-    spans = repeated_windows(texts, window)
+    spans = repeated_windows(texts, window, frequent)
     return per_document(
         joined(texts, spans, "left"), keep, "n_words long, n_removed long, text string", id_column
     )

@@ -16,7 +16,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sluicegate.llm import decontaminate, induced, packing, queries, simhash, substrings, suffixes
+from sluicegate.llm import anchors, decontaminate, induced, packing, queries, simhash, substrings, suffixes
 from tests.llm.test_text_statistics import same_rows
 from tests.llm.texts import corpus, frame, prose, save
 
@@ -94,36 +94,21 @@ def test_components_of_paths_and_stars(spark):
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("pair_points", [1 << 15, 40])
-def test_near_dedup_links_all_similar_texts(spark, pair_points):
-    """Components of the pairs with a 5-word Jaccard similarity of 0.8, by brute force."""
+def test_near_dedup_stage_keeps_one_of_each_component(spark):
+    """Components of fingerprints of 3-word shingles, 2 bits or fewer apart, by brute force."""
     r = random.Random(21)
     rows = [(i, prose(r, r.randint(50, 200))) for i in range(20)]
     for i, text in rows[:20]:
         for k in range(1, 7):
             words = text.split()
-            for _ in range(r.randint(1, max(2, len(words) // 30))):
+            if k > 2:
                 words[r.randrange(len(words))] = f"edit{r.randrange(10**6)}"
-            rows.append((100 * k + i, " ".join(words)))
+            rows.append((100 * k + i, " ".join(words).upper() if k == 2 else " ".join(words)))
     rows += [(5000, ""), (5001, None), (5002, "a b"), (5003, "A  b"), (None, rows[3][1]), rows[4]]
-
-    def grams(text):
-        words = (text or "").lower().split()
-        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-    sets, root = [grams(text) for _, text in rows], np.arange(len(rows))
-    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    root = simhash._roots(simhash._unite(root, *np.array(pairs).T)).tolist()
-    least = {}
-    for (key, _), at in zip(rows, root, strict=True):
-        if key is not None:
-            least[at] = min(key, least.get(at, key))
-    assert len(set(root)) < len(rows) - 40
-    found = simhash.similar_texts(frame(spark, rows), pair_points=pair_points)
-    same_rows(found, [(key, least[at]) for (key, _), at in zip(rows, root, strict=True)])
-    docs = frame(spark, rows)
-    kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
-    assert {x.doc_id for x in kept.collect()} - {None} == set(least.values())
+    least = {i for i, _, c in plain_components(rows) if i == c}
+    assert 20 < len(least) < len(rows) - 30
+    kept = corpus_pipeline.simhash_near_dedup(spark, frame(spark, rows), "")
+    assert {x.doc_id for x in kept.collect()} - {None} == least - {None}
 
 
 def plain_windows(rows, window):
@@ -151,11 +136,30 @@ def test_first_places_of_windows_are_aggregated_before_the_shuffle(spark):
     halves = spark.range(0, 400, 1, 4).selectExpr(
         "7L AS hash", "id", "1L AS tie", "30 AS pos", "array(3S, 2S) AS back", "array(5L, id + 100) AS full"
     )
-    later = substrings._later_windows(halves)
-    assert sorted(map(tuple, later.collect())) == [(i, 1, 27) for i in range(1, 400)]
+    later = substrings._later_of_frequent(halves, 20)
+    assert sorted(map(tuple, later.collect())) == [(i, 1, [27], [47]) for i in range(1, 400)]
     assert "partial_min" in later._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("frequent", [0, 2, 5])
+def test_frequent_windows_go_another_way_to_the_same_result(spark, frequent):
+    passage = prose(random.Random(2), 40)
+    rows = [*corpus(), *((500 + i, f"{prose(random.Random(i), 9)} {passage} {i}") for i in range(12))]
+    found = substrings.deduplicate(frame(spark, rows), frequent=frequent)
+    plain = [(i, n, gone) for i, n, gone, _ in plain_windows(rows, 20)]
+    same_rows(found.select("doc_id", "n_words", "n_removed"), plain)
+
+
+def test_many_equal_rows_carry_each_place_once(spark):
+    text = prose(random.Random(3), 200)
+    rows = [(1, text)] * 60 + [(2, text)]
+    same_rows(substrings.deduplicate(frame(spark, rows)).select("doc_id", "n_removed"), [(1, 0)] * 60 + [(2, 200)])
+    texts = anchors.keyed(frame(spark, rows), "doc_id", "text")
+    for spans in (substrings.repeated_windows(texts, 20), substrings.repeated_windows(texts, 20, 0)):
+        carried = spans.selectExpr("sum(size(flatten(begins)))").first()[0]
+        assert carried < 400
+
+
 @pytest.mark.parametrize("window", [4, 8])
 def test_short_windows_with_few_words(spark, window):
     r = random.Random(window)

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 from sluicegate.llm import html_text, language_model, licenses, quality, queries, toxicity, trie
-from tests.llm.texts import corpus, frame, save
+from tests.llm.texts import corpus, frame, prose, save
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -132,6 +132,75 @@ def test_license_rules_compile_and_contained_detections_go(spark):
     assert len(found[0].spans) > 1
 
 
+def sample_of(parsed, r) -> str:
+    """A text that a parsed pattern matches, chosen at random."""
+    out = []
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            out.append(chr(value))
+        elif name == "NOT_LITERAL":
+            out.append("w")
+        elif name == "IN":
+            out.append(chr(r.choice([v for _, v in value])))
+        elif name == "BRANCH":
+            out.append(sample_of(r.choice(value[1]), r))
+        elif name == "SUBPATTERN":
+            out.append(sample_of(value[3], r))
+        elif name == "MAX_REPEAT":
+            low, high, inner = value
+            out += [sample_of(inner, r) for _ in range(r.randint(low, min(high, low + 2)))]
+        else:
+            assert name == "ASSERT"
+    return "".join(out)
+
+
+def plain_licenses(text: str | None) -> tuple:
+    """Detections without any gate, and what containment leaves."""
+    words = [w for w in re.split(licenses.NOT_WORD, lower(text or "")) if w]
+    line = f" {' '.join(words)} "
+    spans = []
+    for rule in licenses.rules():
+        for found in re.finditer(rule["pattern"], line):
+            start = line[: found.start()].count(" ") - 1
+            spans.append((start, start + found.group().count(" ") + 1, rule["priority"], rule["rule"], rule["label"], rule["base"]))
+    left = [
+        s for s in spans
+        if not any(o[0] <= s[0] and s[1] <= o[1] and o[2] >= s[2] and o != s and (o[:3] != s[:3] or o[3] < s[3]) for o in spans)
+    ]
+    base = [s for s in spans if s[5]]
+    starts = [s[0] for s in base]
+    return (
+        len(words),
+        len(base),
+        min(starts, default=None),
+        max(starts, default=None),
+        ",".join(sorted({s[4] for s in base})),
+        ",".join(sorted({s[4] for s in (*base, *left)})),
+        licenses.CONFIDENCE[max((s[2] for s in left), default=0)],
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_license_query_equals_rules_without_gates(spark, tmp_path, seed):
+    import random
+
+    r = random.Random(seed)
+    texts = [sample_of(re._parser.parse(rule["pattern"]), r) for rule in licenses.rules()]
+    texts += [" and ".join(r.sample(texts, 3)).title() for _ in range(60)]
+    texts += ["under the MIT License, under the mit\nlicense", "under mit supervision, ruby light, limit", "\u212aelvin \u0130SC license ISC licence"]
+    rows = [*corpus(), *enumerate((f"{prose(r, 4)} {t}, {prose(r, 3)}" for t in texts), 2000)]
+    found = queries.op9_licenses(spark, save(spark, tmp_path, documents=frame(spark, rows)))
+    same_rows(found, [(i, *plain_licenses(t)) for i, t in rows])
+    assert len({label for row in found.collect() for label in row.labels.split(",")}) > 50
+
+
+def test_plain_names_need_the_word_license(spark):
+    texts = ["work done under mit supervision", "a book published under ruby light", "under curl", "released under the ISC license", "published under CC0"]
+    found = [r.labels for r in licenses.scan(frame(spark, [*enumerate(texts)])).orderBy("doc_id").collect()]
+    assert found == [[], [], [], ["isc"], ["cc0"]]
+
+
 def test_toxicity_learns_words_and_misspellings(spark, tmp_path):
     import random
 
