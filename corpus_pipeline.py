@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.llm import decontaminate, packing, quality, simhash, suffixes
-from sluicegate.llm.frames import stored, table
+from sluicegate.llm.frames import passing, stored, table
 from sluicegate.llm.queries import TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -47,10 +47,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of every component of near-duplicates.
 
-    Texts link from a Jaccard similarity of 0.8 of their 5-word shingles on; SimHashes find the pairs to compare.
-    Rows that share that id and a set of shingles stay together.
+    Fingerprints of 3-word shingles link at 2 or fewer differing bits.  Rows that share that id and fingerprint
+    stay together.
     """
-    placed = simhash.similar_texts(docs)
+    placed = simhash.near_duplicates(docs, shingle=3, radius=2)
     dropped = placed.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return _by_id(docs, dropped, "left_anti")
 
@@ -96,5 +96,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written and read as the next one's input."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        # What a stage stores on its way goes when its own result is written.
+        with passing(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
