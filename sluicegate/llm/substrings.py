@@ -11,8 +11,8 @@ window removes a word more, so it ends there, or at the level where nothing is l
 
 A window is told by the hash of its words and of the half window in it, 128 bits together.  Equal half windows stream
 past in order, so a task holds the distinct windows of one of them.  Half windows of more than ``FREQUENT`` rows, as around a
-passage in a third of all documents, go another way to the same result: the first place of each of their windows is
-aggregated from the map tasks on, and joined back.
+passage in a third of all documents, are dealt by full window and a salt, so that no task holds or reads many of them; the
+first places of a window's salted groups are then compared.
 
 Null, empty, blank and short texts lose nothing.  Very long texts are handled whole.  Null ids come
 first in order.  Rows equal in id and text are one document.  An empty table gives no rows.
@@ -38,14 +38,19 @@ from sluicegate.llm.anchors import (
 from sluicegate.llm.frames import (
     chunks,
     covered,
+    mix,
     passing,
     span_hashes,
     stored,
     word_hashes,
 )
 
-# Rows of a half window from which its places are aggregated and not streamed.
+# Rows beyond which a half window is dealt by full window and salt, and how many such half windows there can be: the driver
+# sends their hashes to all tasks.
 FREQUENT = 10_000
+MOST_FREQUENT = 100_000
+SALTS = 64
+_DEALT = ["key", "salt", "id", "tie", "pos", "back", "full"]
 
 
 def _hashed(codes: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -123,9 +128,42 @@ def _send_halves(window: int):
     return run
 
 
+def _deal(frequent: np.ndarray):
+    """Group key of every half window: its hash, or, where that is frequent, one for each full window and a salt."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = np.isin(batch.column("hash").to_numpy(), frequent)
+            few = batch.filter(pa.array(~many))
+            keys, none = few.column("hash"), pa.array(np.full(few.num_rows, -1, np.int32))
+            yield pa.RecordBatch.from_arrays([keys, none, *few.columns[1:-1]], _DEALT)
+            rest = batch.filter(pa.array(many))
+            if not rest.num_rows:
+                continue
+            lists = rest.column("full").offsets.to_numpy()
+            full = rest.column("full").flatten().to_numpy()
+            row = np.repeat(np.arange(rest.num_rows), np.diff(lists))
+            key = mix(rest.column("hash").to_numpy()[row].view(np.uint64) + mix(full.view(np.uint64)))
+            each = pa.array(np.arange(len(row) + 1, dtype=np.int32))
+            take = pa.array(row)
+            back = rest.column("back").flatten()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key.view(np.int64)),
+                    rest.column("salt").take(take),
+                    *(rest.column(c).take(take) for c in ("id", "tie", "pos")),
+                    pa.ListArray.from_arrays(each, back),
+                    pa.ListArray.from_arrays(each, pa.array(full)),
+                ],
+                _DEALT,
+            )
+
+    return run
+
+
 def _without_repeats(batch: pa.RecordBatch, last: tuple | None) -> tuple[pa.RecordBatch, tuple | None]:
     """Leave out rows that are the row before them again, which one document in several rows sends."""
-    names = ["hash", "id", "tie", "pos"]
+    names = ["key", "id", "tie", "pos"]
     same = np.ones(batch.num_rows, bool)
     for name in names:
         codes = batch.column(name).dictionary_encode(null_encoding="encode").indices.to_numpy()
@@ -139,10 +177,13 @@ def _without_repeats(batch: pa.RecordBatch, last: tuple | None) -> tuple[pa.Reco
 
 
 def _later_in_groups(window: int):
-    """Spans of the windows that an earlier row of their half window has; groups stream past in order."""
+    """Spans of the windows that an earlier row of their group has; groups stream past in order.
+
+    Of a frequent window the first place in its salted group comes too, with its key: another group may have an earlier one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = np.empty(0, np.int64)
+        group = (None, None)
         seen = np.empty(0, np.int64)  # full windows of the group that the last batch ended in
         last_row = None
         for batch in batches:
@@ -151,14 +192,13 @@ def _later_in_groups(window: int):
             batch, last_row = _without_repeats(batch, last_row)
             if not batch.num_rows:
                 continue
-            half = batch.column("hash").to_numpy()
+            key, salt = batch.column("key").to_numpy(), batch.column("salt").to_numpy()
             offsets = batch.column("full").offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            row = np.repeat(np.arange(len(half)), np.diff(offsets))
+            row = np.repeat(np.arange(len(key)), np.diff(offsets))
             full = batch.column("full").flatten().to_numpy()
             # Number the groups; what was seen stands before the first row's.
-            number = np.concatenate(([0], np.cumsum(half[1:] != half[:-1])))
-            carried = seen if len(group) and group[0] == half[0] else seen[:0]
+            number = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]) | (salt[1:] != salt[:-1]))))
+            carried = seen if group == (key[0], salt[0]) else seen[:0]
             owner = np.concatenate((np.zeros(len(carried), np.int64), number[row]))
             value = np.concatenate((carried, full))
             order = np.lexsort((value, owner))
@@ -167,48 +207,47 @@ def _later_in_groups(window: int):
                 owner[order[1:]] != owner[order[:-1]]
             )
             last = owner == number[-1]
-            group, seen = half[-1:], np.unique(value[last])
-            at = np.flatnonzero(~fresh[len(carried) :])
-            if not len(at):
-                continue
-            begin = batch.column("pos").to_numpy()[row[at]] - batch.column("back").flatten().to_numpy()[at]
-            # Spans of different rows are kept apart by a distance that no text has.
-            apart = row[at].astype(np.int64) << 40
-            low, high = covered(apart + begin, apart + begin + window)
-            mine = low >> 40
-            rows, first = np.unique(mine, return_index=True)
-            cut = pa.array(np.append(first, len(mine)).astype(np.int32))
-            mask = (1 << 40) - 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(pa.array(rows)),
-                    batch.column("tie").take(pa.array(rows)),
-                    pa.ListArray.from_arrays(cut, pa.array((low & mask).astype(np.int32))),
-                    pa.ListArray.from_arrays(cut, pa.array((high & mask).astype(np.int32))),
-                ],
-                ["id", "tie", "begins", "ends"],
-            )
+            group, seen = (key[-1], salt[-1]), np.unique(value[last])
+            fresh = fresh[len(carried) :]
+            begin = batch.column("pos").to_numpy()[row] - batch.column("back").flatten().to_numpy()
+            at = np.flatnonzero(fresh & (salt[row] >= 0))
+            if len(at):
+                one = np.arange(len(at) + 1, dtype=np.int32)
+                yield _spans(batch, row[at], one, begin[at], begin[at] + window, key[row[at]], full[at])
+            at = np.flatnonzero(~fresh)
+            if len(at):
+                # Spans of different rows are kept apart by a distance that no text has.
+                apart = row[at].astype(np.int64) << 40
+                low, high = covered(apart + begin[at], apart + begin[at] + window)
+                mine = low >> 40
+                rows, first = np.unique(mine, return_index=True)
+                mask = (1 << 40) - 1
+                yield _spans(batch, rows, np.append(first, len(mine)), low & mask, high & mask)
 
     return run
 
 
-def _later_of_frequent(halves: DataFrame, window: int) -> DataFrame:
-    """The same for half windows of very many rows.
-
-    The first place of a full window is an aggregate that starts in the map tasks; a frequent window's places are split by the join.
-    """
-    full = F.explode(F.arrays_zip("back", "full")).alias("w")
-    windows = halves.select("hash", "id", "tie", "pos", full).select(
-        "hash",
-        F.col("w.full").alias("full"),
-        F.struct("id", "tie", (F.col("pos") - F.col("w.back")).alias("begin")).alias("place"),
+def _spans(batch, rows, cut, low, high, key=None, full=None) -> pa.RecordBatch:
+    offsets = pa.array(np.asarray(cut, np.int32))
+    take = pa.array(rows)
+    facts = [pa.nulls(len(rows), pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (key, full)]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("id").take(take),
+            batch.column("tie").take(take),
+            *(pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (low, high)),
+            *facts,
+        ],
+        ["id", "tie", "begins", "ends", "key", "full"],
     )
+
+
+def _later_of_firsts(firsts: DataFrame) -> DataFrame:
+    """Of the first places in a window's salted groups, at most ``SALTS``, all but the least."""
+    place = F.struct("id", "tie", "begins", "ends")
     # Null ids are the least of structs.
-    earliest = windows.groupBy("hash", "full").agg(F.min("place").alias("least"), F.max("place").alias("most"))
-    earliest = earliest.where("least <> most").drop("most").hint("merge")
-    later = windows.join(earliest, ["hash", "full"]).where("place > least").select("place.*")
-    spans = later.groupBy("id", "tie").agg(F.collect_set("begin").alias("begins"))
-    return spans.withColumn("ends", F.transform("begins", lambda x: (x + window).cast("int")))
+    listed = firsts.groupBy("key", "full").agg(F.sort_array(F.collect_list(place)).alias("places"))
+    return listed.where(F.size("places") > 1).select(F.inline(F.slice("places", 2, SALTS)))
 
 
 def repeated_windows(texts: DataFrame, window: int, frequent: int = FREQUENT) -> DataFrame:
@@ -216,24 +255,28 @@ def repeated_windows(texts: DataFrame, window: int, frequent: int = FREQUENT) ->
     if window % 4:
         raise ValueError("the window must be a multiple of four words")
     kind = texts.schema["id"].dataType.simpleString()
+    row = f"id {kind}, tie long, pos int, back array<short>, full array<long>"
     with passing(texts.sparkSession):
         quarters = texts.mapInArrow(_send_quarters(window), f"hash long, id {kind}, tie long, pos int")
         places = repeated(quarters, "quarter-windows")
-        sent = joined(texts, places, "inner").mapInArrow(
-            _send_halves(window),
-            f"hash long, id {kind}, tie long, pos int, back array<short>, full array<long>",
-        )
+        sent = joined(texts, places, "inner").mapInArrow(_send_halves(window), f"hash long, {row}")
         halves = stored(sent, "half-windows")
-        many = halves.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > frequent).select("hash")
-        many = stored(many, "frequent-windows")
-        grouped = halves if many.isEmpty() else halves.join(many, "hash", "left_anti")
+        # At most MOST_FREQUENT half windows can have so many rows.
+        least = max(frequent, halves.count() // MOST_FREQUENT)
+        many = halves.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > least).select("hash").collect()
+        salted = halves.withColumn("salt", F.pmod(F.xxhash64("id", "tie", "pos"), F.lit(SALTS)).cast("int"))
+        dealt = salted.mapInArrow(_deal(np.array([r.hash for r in many], np.int64)), f"key long, salt int, {row}")
         spans = (
-            grouped.repartition("hash")
-            .sortWithinPartitions("hash", F.col("id").asc_nulls_first(), "tie", "pos")
-            .mapInArrow(_later_in_groups(window), f"id {kind}, tie long, begins array<int>, ends array<int>")
+            dealt.repartition("key", "salt")
+            .sortWithinPartitions("key", "salt", F.col("id").asc_nulls_first(), "tie", "pos")
+            .mapInArrow(
+                _later_in_groups(window),
+                f"id {kind}, tie long, begins array<int>, ends array<int>, key long, full long",
+            )
         )
-        if grouped is not halves:
-            spans = spans.unionByName(_later_of_frequent(halves.join(many, "hash", "left_semi"), window))
+        if many:
+            spans = stored(spans, "window-spans")
+            spans = spans.where("key is null").drop("key", "full").unionByName(_later_of_firsts(spans.where("key is not null")))
         lists = (F.collect_list(c).alias(c) for c in ("begins", "ends"))
         return stored(spans.groupBy("id", "tie").agg(*lists), "later-windows", keep=True)
 
