@@ -296,11 +296,34 @@ def induce(
             size = max(1024, min(BLOCK, 2 * count))
 
 
-def extended(text: np.ndarray, left: np.ndarray, right: np.ndarray, start: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of pairs of suffixes, known to be at least ``start``, up to ``cap``."""
+def several(text: np.ndarray) -> np.ndarray:
+    """From each place the next characters, as many as fit 64 bits, in one number; zeros after the end."""
+    each = text.dtype.itemsize
+    whole = np.zeros(len(text), np.uint64)
+    for step in range(8 // each):
+        whole <<= np.uint64(8 * each)
+        whole[: len(text) - step] |= text[step:].astype(np.uint64)
+    return whole
+
+
+def extended(
+    text: np.ndarray, together: np.ndarray, left: np.ndarray, right: np.ndarray, start: np.ndarray, cap: int
+) -> np.ndarray:
+    """Common prefixes of pairs of suffixes, known to be at least ``start``, up to ``cap``.
+
+    ``together`` is ``several(text)``: characters are compared several at a time as far as all agree, then one by one.
+    """
     length = np.minimum(start, cap).astype(np.int64)
-    active = np.flatnonzero(length < cap)
     end = len(text) - 1
+    step = 8 // text.dtype.itemsize
+    active = np.flatnonzero(length + step <= cap)
+    while len(active):
+        a, b = left[active] + length[active], right[active] + length[active]
+        same = (np.maximum(a, b) + step - 1 <= end) & (together[np.minimum(a, end)] == together[np.minimum(b, end)])
+        active = active[same]
+        length[active] += step
+        active = active[length[active] + step <= cap]
+    active = np.flatnonzero(length < cap)
     while len(active):
         a, b = left[active] + length[active], right[active] + length[active]
         same = (np.maximum(a, b) <= end) & (text[np.minimum(a, end)] == text[np.minimum(b, end)])
@@ -333,7 +356,7 @@ def _doubling(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
         places = places[~(fresh & np.append(fresh[1:], True))]
         span *= 2
     lcp = np.zeros(size, np.uint8)
-    lcp[1:] = extended(text, order[1:], order[:-1], np.zeros(size - 1, np.int64), cap)
+    lcp[1:] = extended(text, several(text), order[1:], order[:-1], np.zeros(size - 1, np.int64), cap)
     return order, lcp
 
 
@@ -413,12 +436,14 @@ def suffix_order(
     # Prefixes in names become prefixes in characters: whole substrings, then what the next two share.
     sorted_seeds = seeds[order]
     lcp = np.zeros(count, np.uint8)
+    together = several(text)
     for low in range(1, count, BLOCK):
         part = slice(low, low + BLOCK)
         reach = np.minimum(order[part] + shared[part], count - 1)
         start = seeds[reach] - seeds[order[part]]
-        lcp[part] = extended(text, sorted_seeds[part], seeds[order[low - 1 : min(low + BLOCK, count) - 1]], start, cap)
-    del order, shared
+        before = seeds[order[low - 1 : min(low + BLOCK, count) - 1]]
+        lcp[part] = extended(text, together, sorted_seeds[part], before, start, cap)
+    del order, shared, together
     # Up: seeds induce the L suffixes.
     total = int(size - is_s.sum())
     large = arena.array(total, np.int64)

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,8 +145,15 @@ class _Shard:
         begin = rows.column("begin").to_numpy()
         tie = rows.column("tie").to_numpy()
         codes = rows.column("id").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-        places = np.unique(np.stack([owned, codes, tie, begin]), axis=1)
-        many = np.bincount(places[0], minlength=len(sizes)) > 1
+        # Equal rows of the input send equal rows, which are one place.
+        order = np.lexsort((begin, tie, codes, owned))
+        fresh = np.zeros(len(order), bool)
+        for column in (owned, codes, tie, begin):
+            fresh[1:] |= column[order[1:]] != column[order[:-1]]
+        fresh[:1] = True
+        once = order[fresh]
+        rows, owned, begin = rows.take(pa.array(once)), owned[once], begin[once]
+        many = np.bincount(owned, minlength=len(sizes)) > 1
         text_starts = np.arange(len(text) - 1)
         segment = np.searchsorted(bases, text_starts, "right") - 1
         room = bases[segment] + sizes[segment] - text_starts >= length
@@ -185,28 +193,37 @@ def _sort_shards(length: int, shard_bytes: int):
         shard = _Shard()
         last_hash, last_segment = None, None
         for batch in batches:
-            hashes = batch.column("hash").to_pylist()
-            segments = batch.column("segment").to_pylist()
+            if not batch.num_rows:
+                continue
+            hashes, segments = batch.column("hash").to_numpy(), batch.column("segment")
             rows = batch.select(["id", "tie", "begin"])
-            owned: list[int] = []
+            # Where an anchor's rows begin, and where those of a segment do.
+            anchor = np.append(hashes[0] != last_hash, hashes[1:] != hashes[:-1])
+            fresh = anchor.copy()
+            fresh[1:] |= pc.not_equal(segments[1:], segments[:-1]).to_numpy(zero_copy_only=False)
+            fresh[0] |= segments[0].as_py() != last_segment
+            sizes = np.where(fresh, pc.binary_length(segments).to_numpy(), 0)
+            total = np.cumsum(sizes)
+            cuts = np.flatnonzero(anchor)
             low = 0
-            for at, (value, segment) in enumerate(zip(hashes, segments, strict=True)):
-                if value != last_hash:
-                    if shard.bytes >= shard_bytes:
-                        shard.rows.append(rows.slice(low, at - low))
-                        shard.owned.append(np.array(owned, np.int64))
-                        found = shard.spans(length)
-                        if found is not None:
-                            yield found
-                        shard, owned, low = _Shard(), [], at
-                    last_hash, last_segment = value, None
-                if segment != last_segment:
-                    shard.segments.append(segment)
-                    shard.bytes += len(segment)
-                    last_segment = segment
-                owned.append(len(shard.segments) - 1)
-            shard.rows.append(rows.slice(low))
-            shard.owned.append(np.array(owned, np.int64))
+            while low < batch.num_rows:
+                # The shard closes at the first anchor before which it has its bytes.
+                begin = cuts[cuts >= low]
+                held = shard.bytes + np.where(begin > 0, total[begin - 1], 0) - (total[low - 1] if low else 0)
+                full = np.flatnonzero(held >= shard_bytes)
+                high = int(begin[full[0]]) if len(full) else batch.num_rows
+                part = slice(low, high)
+                shard.rows.append(rows.slice(low, high - low))
+                shard.owned.append(len(shard.segments) - 1 + np.cumsum(fresh[part]))
+                shard.segments += segments.slice(low, high - low).filter(pa.array(fresh[part])).to_pylist()
+                shard.bytes += int(sizes[part].sum())
+                if len(full):
+                    found = shard.spans(length)
+                    if found is not None:
+                        yield found
+                    shard = _Shard()
+                low = high
+            last_hash, last_segment = hashes[-1], segments[len(segments) - 1].as_py()
         found = shard.spans(length)
         if found is not None:
             yield found

@@ -7,8 +7,9 @@ table of quantised logarithms.  Pointers say where each context's successors beg
 grow.  The numbers of words grow within a context, and summed with the base of their context they grow
 over the whole level, so both are Elias-Fano.
 
-A query starts from the range of successors of its context and searches it for its word.  Reads touch
-only the pages that hold what they ask for.
+A query starts from the range of successors of its context and searches it for its word.  Words are numbered by their
+hashes, so a context's successors lie about evenly and the search goes where the word should stand.  Reads touch only the
+pages that hold what they ask for.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from __future__ import annotations
 import numpy as np
 
 SAMPLE = 32
+# Rounds after which a search halves its range, should its numbers not lie evenly.
+EVEN_ROUNDS = 6
 _SELECT = np.zeros((256, 8), np.uint8)
 for _byte in range(256):
     _bits = [i for i in range(8) if _byte >> i & 1]
@@ -163,23 +166,31 @@ class Level:
         own, which = np.unique(context[who], return_inverse=True)
         lows, highs = self.pointers[own], self.pointers[own + 1]
         bases = np.where(lows > 0, self.words[np.maximum(lows - 1, 0)] + 1, 0)
-        low, high, base = lows[which], highs[which], bases[which]
+        tops = self.words[np.maximum(highs - 1, 0)]
+        low, high, base, top = lows[which], highs[which], bases[which], tops[which]
         begin[who] = low
-        have = high > low
-        who, low, high, base = who[have], low[have], high[have], base[have]
         # A context's numbers are relative to the last value of the contexts before it.
         wanted = word[who] + base
-        first, last = low.copy(), high - 1
-        active = np.arange(len(who))
-        while len(active):
-            middle = (first[active] + last[active]) >> 1
-            less = self.words[middle] < wanted[active]
-            first[active[less]] = middle[less] + 1
-            last[active[~less]] = middle[~less]
-            active = active[first[active] < last[active]]
-        hit = first < high
-        hit[hit] = self.words[first[hit]] == wanted[hit]
-        result[who[hit]] = first[hit]
+        have = (high > low) & (wanted <= top)
+        who, wanted, first, last = who[have], wanted[have], low[have], high[have] - 1
+        # The numbers just before the first place and at the last one.
+        less, more = base[have] - 1, top[have]
+        rounds = 0
+        while len(who):
+            rounds += 1
+            if rounds > EVEN_ROUNDS:
+                middle = (first + last) >> 1
+            else:
+                share = (wanted - less - 1) / (more - less)
+                middle = np.minimum(first + (share * (last - first + 1)).astype(np.int64), last)
+            found = self.words[middle]
+            hit = found == wanted
+            result[who[hit]] = middle[hit]
+            under = found < wanted
+            first, less = np.where(under, middle + 1, first), np.where(under, found, less)
+            last, more = np.where(under, last, middle - 1), np.where(under, more, found)
+            left = np.flatnonzero(~hit & (first <= last))
+            who, wanted, first, last, less, more = (x[left] for x in (who, wanted, first, last, less, more))
         return result, begin
 
     def words_at(self, places: np.ndarray) -> np.ndarray:

@@ -285,6 +285,21 @@ def test_teasers_do_not_stand_in_for_the_article():
     assert html_text.main_text(f"<article><p>The story.</p></article>{teaser}") == "The story."
 
 
+@pytest.mark.parametrize("power", [1, 6])
+def test_successors_are_found_whether_they_lie_evenly_or_not(power):
+    r = np.random.default_rng(power)
+    context = np.sort(r.integers(0, 40, 4000) ** 2 // 40)
+    pairs = np.unique(context * 10**6 + (r.random(4000) ** power * 10**6).astype(np.int64))
+    context, word = pairs // 10**6, pairs % 10**6
+    held = trie.Level(trie.level(context, word, 41, 10**6))
+    asked = np.concatenate((pairs, pairs + 1, pairs - 1, r.integers(0, 41 * 10**6, 3000)))
+    asked = asked[(asked >= 0) & (asked < 41 * 10**6)]
+    at, begin = held.find(asked // 10**6, asked % 10**6)
+    places = {int(p): i for i, p in enumerate(pairs)}
+    assert at.tolist() == [places.get(int(p), -1) for p in asked]
+    assert (begin == np.searchsorted(context, asked // 10**6)).all()
+
+
 def test_language_model_matches_plain_counts(spark, folder):
     rows = corpus()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
