@@ -47,6 +47,29 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return place[:count]
 
 
+PLACE_BITS = 26
+
+
+def least_hash_in_windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """``least_in_windows`` for 64-bit hashes, told apart by their high bits.
+
+    A hash and its place make one number, so that a step is a single minimum.  Where hashes agree in all but
+    their last bits the leftmost counts, in equal windows the same one.
+    """
+    count = len(hashes) - width + 1
+    if count <= 0:
+        return np.empty(0, np.int64)
+    bits = np.uint64(max(PLACE_BITS, len(hashes).bit_length()))
+    best = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+    span = 1
+    while span * 2 <= width:
+        best = np.minimum(best[:-span], best[span:])
+        span *= 2
+    if span < width:
+        best = np.minimum(best[: span - width], best[width - span :])
+    return (best & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+
+
 def whole_windows(first: np.ndarray, units: int, window: int) -> np.ndarray:
     """Starts of the windows that lie within one text."""
     inside = np.zeros(units + 1, np.int64)

@@ -156,6 +156,18 @@ def span_hashes(
     return mix(values + (end - begin).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D + 2 * seed))
 
 
+def window_hashes(codes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """``span_hashes`` of ``width`` codes from every place that has so many."""
+    count = len(codes) - width + 1
+    if count <= 0:
+        return np.empty(0, np.uint64)
+    up, down = powers(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * down[:-1], out=sums[1:])
+    values = (sums[width:] - sums[:-width]) * up[:count]
+    return mix(values + np.uint64(width) * np.uint64(0x2545F4914F6CDD1D + 2 * seed))
+
+
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return span_hashes(BYTE_CODES[data], begin, end)
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from sluicegate.llm.anchors import (
     joined,
     keyed,
-    least_in_windows,
+    least_hash_in_windows,
     per_document,
     repeated,
     whole_windows,
@@ -40,8 +40,8 @@ from sluicegate.llm.frames import (
     covered,
     mix,
     passing,
-    span_hashes,
     stored,
+    window_hashes,
     word_hashes,
 )
 
@@ -53,17 +53,12 @@ SALTS = 64
 _DEALT = ["key", "salt", "id", "tie", "pos", "back", "full"]
 
 
-def _hashed(codes: np.ndarray, width: int, seed: int) -> np.ndarray:
-    at = np.arange(max(0, len(codes) - width + 1))
-    return span_hashes(codes, at, at + width, seed)
-
-
 def _quarter_anchors(codes: np.ndarray, first: np.ndarray, window: int):
     """Hash of each quarter window, starts of full windows, and the anchor of each."""
     quarter = window // 4
-    hashes = _hashed(codes, quarter, 1)
+    hashes = window_hashes(codes, quarter, 1)
     starts = whole_windows(first, len(codes), window)
-    return hashes, starts, least_in_windows(hashes, window - quarter + 1)[starts]
+    return hashes, starts, least_hash_in_windows(hashes, window - quarter + 1)[starts]
 
 
 def _send_quarters(window: int):
@@ -105,9 +100,9 @@ def _send_halves(window: int):
                 starts = starts[alive[anchor]]
                 if not len(starts):
                     continue
-                halves = _hashed(codes, window // 2, 2)
-                full = _hashed(codes, window, 3)[starts]
-                anchor = least_in_windows(halves, window // 2 + 1)[starts]
+                halves = window_hashes(codes, window // 2, 2)
+                full = window_hashes(codes, window, 3)[starts]
+                anchor = least_hash_in_windows(halves, window // 2 + 1)[starts]
                 cut = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
                 offsets = pa.array(np.append(cut, len(starts)).astype(np.int32))
                 kept = anchor[cut]

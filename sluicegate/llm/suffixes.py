@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from sluicegate.llm.anchors import (
     joined,
     keyed,
-    least_in_windows,
+    least_hash_in_windows,
     per_document,
     repeated,
     whole_windows,
 )
-from sluicegate.llm.frames import BYTE_CODES, Chunk, chunks, span_hashes, stored
+from sluicegate.llm.frames import BYTE_CODES, Chunk, chunks, stored, window_hashes
 from sluicegate.llm.induced import Arena, suffix_order
 
 UNIT = 32
@@ -48,10 +48,9 @@ END, CUT, FIRST_BYTE = 0, 1, 2
 def _anchors(chunk: Chunk, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each unit, starts of strings within a text, and the anchor of each."""
     codes = BYTE_CODES[chunk.data]
-    at = np.arange(max(0, len(codes) - UNIT + 1))
-    hashes = span_hashes(codes, at, at + UNIT)
+    hashes = window_hashes(codes, UNIT)
     starts = whole_windows(chunk.starts, len(codes), length)
-    return hashes, starts, least_in_windows(hashes, length - UNIT + 1)[starts]
+    return hashes, starts, least_hash_in_windows(hashes, length - UNIT + 1)[starts]
 
 
 def _send_anchors(length: int):

@@ -1,7 +1,7 @@
 """A compact n-gram trie in flat arrays, made to be memory-mapped.
 
 Values that only grow are held in Elias-Fano form: their low bits in a packed array and their high bits as gaps in
-unary, with the place of every 32nd mark.  A level of the trie has, for each n-gram in order of its
+unary, with the place of every eighth mark.  A level of the trie has, for each n-gram in order of its
 context, the number of its last word, and a probability and a back-off weight as one-byte codes into a
 table of quantised logarithms.  Pointers say where each context's successors begin; they only
 grow.  The numbers of words grow within a context, and summed with the base of their context they grow
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SAMPLE = 32
+SAMPLE = 8
 # Rounds after which a search halves its range, should its numbers not lie evenly.
 EVEN_ROUNDS = 6
 _SELECT = np.zeros((256, 8), np.uint8)

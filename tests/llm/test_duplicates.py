@@ -399,6 +399,20 @@ def test_anchors_choose_the_leftmost_least():
     assert least_in_windows(values, 3).tolist() == [1, 1, 4, 4, 4]
     assert least_in_windows(values, 9).tolist() == []
     assert whole_windows(np.array([0, 3, 3, 4, 7]), 7, 2).tolist() == [0, 1, 4, 5]
+    hashes = np.random.default_rng(1).integers(0, 2**64, 900, dtype=np.uint64)
+    hashes[300:600] = hashes[:300]
+    for width in (1, 2, 7, 169, 900):
+        assert (anchors.least_hash_in_windows(hashes, width) == least_in_windows(hashes, width)).all()
+    assert not len(anchors.least_hash_in_windows(hashes, 901))
+
+
+def test_hashes_of_windows_are_those_of_spans():
+    from sluicegate.llm.frames import span_hashes, window_hashes
+
+    codes = np.random.default_rng(2).integers(0, 2**64, 50, dtype=np.uint64)
+    for width in (1, 7, 50, 51):
+        at = np.arange(max(0, 51 - width))
+        assert (window_hashes(codes, width, 3) == span_hashes(codes, at, at + width, 3)).all()
 
 
 def test_rows_streamed_in_any_batches():
