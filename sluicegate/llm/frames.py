@@ -165,7 +165,7 @@ def window_hashes(codes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum(codes * down[:-1], out=sums[1:])
     values = (sums[width:] - sums[:-width]) * up[:count]
-    return mix(values + np.uint64(width) * np.uint64(0x2545F4914F6CDD1D + 2 * seed))
+    return mix(values + np.uint64(width * (0x2545F4914F6CDD1D + 2 * seed) % 2**64))
 
 
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sluicegate.llm.frames import stored
 
 # Parts whose ids a worker remembers, and parts looked up at a time.
-CACHED_PARTS = 1_000_000
+CACHED_PARTS = 250_000
 GROUP_PARTS = 100_000
 # Letters below U+0240 whose lower case lies beyond the letters spelt out below.
 FAR_LETTER = re.compile(

@@ -153,17 +153,18 @@ class _Shard:
         once = order[fresh]
         rows, owned, begin = rows.take(pa.array(once)), owned[once], begin[once]
         many = np.bincount(owned, minlength=len(sizes)) > 1
-        text_starts = np.arange(len(text) - 1)
-        segment = np.searchsorted(bases, text_starts, "right") - 1
-        room = bases[segment] + sizes[segment] - text_starts >= length
-        marked = np.flatnonzero((again[:-1] | many[segment]) & room)
+        again[:-1] |= np.repeat(many, sizes + 1)
+        marked = np.flatnonzero(again)
+        segment = np.searchsorted(bases, marked, "right") - 1
+        room = bases[segment] + sizes[segment] - marked >= length
+        marked, segment = marked[room], segment[room]
         # Runs of repeated starts within a segment become spans of it.
-        fresh = np.append(True, (np.diff(marked) > 1) | (np.diff(segment[marked]) > 0)) if len(marked) else []
+        fresh = np.append(True, (np.diff(marked) > 1) | (np.diff(segment) > 0)) if len(marked) else []
         first = np.flatnonzero(fresh)
         if not len(first):
             return None
         last = np.append(first[1:], len(marked)) - 1
-        owner = segment[marked[first]]
+        owner = segment[first]
         low = marked[first] - bases[owner]
         high = marked[last] - bases[owner] + length
         # Every row gets the spans of its segment, moved to its place.
