@@ -1,12 +1,13 @@
 """Packing of token pieces into sequences by a configuration linear program.
 
 Texts are tokenized, given an end id and cut at the sequence length.  Full pieces are
-sequences of their own.  For the rest only the histogram of lengths matters: a configuration is a multiset
-of lengths that fits in a sequence, and the program asks for the fewest sequences, fractional for now,
-whose configurations together hold every piece.  It has too many configurations
-to list, so multiplicative weights solve it: lengths that are behind gain weight, and a knapsack
+sequences of their own.  For the rest only the histogram of lengths matters, in classes rounded to a few
+tokens: a configuration is a multiset of classes that fits in a sequence, and the program asks for the fewest
+sequences, fractional for now, whose configurations together hold every piece.  It has too many configurations
+to list, so multiplicative weights solve it: classes that are behind gain weight, and a knapsack
 dynamic program prices the best configuration for the present weights.  The fractional solution
-is rounded down, and what is left is packed best fit, longest first.
+is rounded, classes become the lengths of their pieces, and the shortest pieces and those that rounding leaves
+over fill the room between.
 
 The histogram has at most one row per length below the sequence length, so the program costs the same at
 any size and is the only thing solved on the driver.  Pieces are numbered within their
@@ -22,6 +23,7 @@ import functools
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +47,16 @@ _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 PART = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \u0085\u00a0{_LETTERS}{_NUMBERS}]+"
 )
-ROUNDS = 100
+# Most rounds of the program, how steeply weights fall, classes of lengths, and the share of tokens left for filling.
+ROUNDS = 1000
+STEEPNESS = 20.0
+CLASSES = 256
+FILLING = 0.004
+# The program is solved again for what rounding left, so many times; how full a rounded sequence is at least.
+PHASES = 2
+FULL = 0.98
+# Classes to each side that may stand in for a class.
+REACH = 4
 ID_BYTES = 4
 
 
@@ -213,54 +224,165 @@ def price(weights: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
-def configurations(
-    counts: np.ndarray, length: int, rounds: int = ROUNDS
-) -> list[tuple[np.ndarray, int]]:
-    """Configurations and how many sequences use each; together they hold every piece.
+def fractional(demand: np.ndarray, room: int, rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
+    """Configurations of classes and their fractional uses, by multiplicative weights.
 
-    ``counts[l]`` is the number of pieces of length l.
+    ``demand[c]`` pieces take c + 1 units of a sequence's ``room``.  A class weighs less, exponentially, the larger
+    the share of it that is served, and the configuration of the greatest weight is used some more, until every class is served.
     """
-    demand = counts.astype(float)
     present = np.flatnonzero(demand)
     if not len(present):
         return []
-    supplied = np.zeros(len(counts))
+    wanted = demand[present].astype(float)
+    least = float((wanted * (present + 1)).sum()) / room
+    supplied = np.zeros(len(demand))
     uses: dict[bytes, float] = {}
     shapes: dict[bytes, np.ndarray] = {}
-    # A round adds enough sequences of one configuration to serve its scarcest length by a share.
-    step = 0.25
-    for _ in range(rounds):
-        short = supplied[present] / demand[present]
-        low = short.min()
-        if low >= 1:
-            break
-        weights = np.zeros(len(counts) - 1)
-        # Exponential weights on the share served so far, per piece still wanted.
-        weights[present - 1] = np.exp(-(short - low) / step * 4) / demand[present] * (short < 1)
-        # Price by weight, with the length itself as a small bonus so that room is not left empty.
-        worth = weights / weights.max()
-        worth[present - 1] += 1e-6 * present / length
-        shape = price(worth, length)
+    while True:
+        share = supplied[present] / wanted
+        low = share.min()
+        if low > 1 - 1e-9:
+            return [(shapes[key], use) for key, use in uses.items()]
+        worth = np.zeros(len(demand))
+        worth[present] = np.exp(-(share - low) * STEEPNESS) / wanted * (share <= 1 - 1e-9)
+        # The length itself is a small bonus, so that room is not left empty.
+        worth /= worth.max()
+        worth[present] += 1e-6 * (present + 1) / room * (share <= 1 - 1e-9)
+        shape = price(worth, room)[1:]
         held = np.flatnonzero(shape)
-        add = max(1.0, float((step * demand[held] / shape[held]).min()))
+        # A class gains a tenth of its pieces at once, or so much that the rounds stay bounded, but not more than it wants.
+        add = max(float((demand[held] / shape[held]).min()) / 10, least / rounds)
+        add = min(add, float(((demand - supplied)[held] / shape[held]).min()))
         key = shape.tobytes()
         shapes[key] = shape
         uses[key] = uses.get(key, 0.0) + add
-        supplied[: len(shape)] += add * shape
-    plan: list[tuple[np.ndarray, int]] = []
-    left = counts.astype(np.int64).copy()
-    # Scale to the demand, round down, and never use more pieces than there are.
-    for key, use in sorted(uses.items(), key=lambda item: -item[1]):
-        shape = shapes[key]
+        supplied += add * shape
+
+
+def rounded(
+    solution: list[tuple[np.ndarray, float]], demand: np.ndarray, room: int
+) -> list[tuple[np.ndarray, int]]:
+    """Whole uses of configurations, which hold no more pieces than there are.
+
+    Uses are rounded so that their running total is, which loses less than one sequence altogether.  Where a class runs
+    out, the configuration goes on without it as long as it fills FULL of the room.  ``demand`` loses the pieces held.
+    """
+    left = demand
+    plan = []
+    total, given = 0.0, 0
+    for shape, use in sorted(solution, key=lambda item: -item[1]):
+        total += use
+        many, given = round(total) - given, round(total)
+        while many > 0:
+            shape = np.minimum(shape, left)
+            held = np.flatnonzero(shape)
+            if (shape[held] * (held + 1)).sum() < FULL * room:
+                break
+            now = int(min(many, (left[held] // shape[held]).min()))
+            plan.append((shape, now))
+            left[held] -= now * shape[held]
+            many -= now
+    return plan
+
+
+def _spelt_out(
+    plan: list[tuple[np.ndarray, int]], counts: np.ndarray, length: int, grain: int
+) -> list[tuple[list[int], int]]:
+    """The lengths that take the classes' places, and how many sequences have the same ones.
+
+    Each place takes the length nearest to the room that the later places' classes leave it, the last one the longest that
+    fits, from its class or those beside it; a place for which there is none stays empty.  Equal sequences are made
+    together until a length runs out, so the steps are bounded by lengths and configurations.
+    ``counts`` loses the pieces taken.
+    """
+    found = []
+    for shape, many in plan:
         held = np.flatnonzero(shape)
-        many = int(min(np.floor(use), (left[held] // shape[held]).min()))
-        if many > 0:
-            plan.append((shape, many))
-            left[held] -= many * shape[held]
-    return plan + best_fit(left, length)
+        slots = np.repeat(held, shape[held])[::-1].tolist()
+        while many:
+            room, later = length, grain * sum(at + 1 for at in slots)
+            taken: list[int] = []
+            for at in slots:
+                middle = grain * (at + 1)
+                later -= middle
+                top = min(room, middle + REACH * grain)
+                low = max(1, middle - REACH * grain)
+                near = counts[low : top + 1].copy()
+                for size in taken:
+                    if low <= size <= top:
+                        near[size - low] -= 1
+                sizes = np.flatnonzero(near > 0) + low
+                if len(sizes):
+                    size = int(sizes[np.abs(sizes - (room - later)).argmin()])
+                    taken.append(size)
+                    room -= size
+            if not taken:
+                break
+            wanted = Counter(taken)
+            now = min(many, *(int(counts[size]) // each for size, each in wanted.items()))
+            for size, each in wanted.items():
+                counts[size] -= now * each
+            found.append((taken, now))
+            many -= now
+    return found
 
 
-def best_fit(counts: np.ndarray, length: int) -> list[tuple[np.ndarray, int]]:
+def _filled(
+    plan: list[tuple[list[int], int]], counts: np.ndarray, length: int
+) -> list[tuple[list[int], int]]:
+    """Sequences with the room that is left filled by the longest pieces left that fit; ``counts`` loses them."""
+    found = []
+    open_ = sorted(((length - sum(sizes), sizes, many) for sizes, many in plan), key=lambda x: x[0])
+    while open_:
+        space, sizes, many = open_.pop()
+        fitting = np.flatnonzero(counts[: space + 1])
+        if not len(fitting):
+            found.append((sizes, many))
+            continue
+        size = int(fitting[-1])
+        now = min(many, int(counts[size]))
+        counts[size] -= now
+        if now < many:
+            open_.append((space, sizes, many - now))
+        open_.append((space - size, [*sizes, size], now))
+    return found
+
+
+def configurations(
+    counts: np.ndarray, length: int, rounds: int = ROUNDS
+) -> list[tuple[list[int], int]]:
+    """The lengths of a sequence's pieces and how many sequences are alike; together they hold every piece.
+
+    ``counts[l]`` is the number of pieces of length l.  The program is over classes of lengths rounded to a grain.
+    The shortest pieces, which hold FILLING of all tokens, are not asked of it: with what rounding leaves over,
+    they fill the room that is left, and after that best fit packs them.
+    """
+    left = counts.astype(np.int64).copy()
+    plan = linear_part(left, length, rounds)
+    return _filled(plan, left, length) + best_fit(left, length)
+
+
+def linear_part(counts: np.ndarray, length: int, rounds: int = ROUNDS) -> list[tuple[list[int], int]]:
+    """The sequences that the rounded program fills; ``counts`` loses their pieces."""
+    grain = -(-length // CLASSES)
+    room = length // grain
+    sizes = np.arange(len(counts))
+    tokens = np.cumsum(counts * sizes)
+    asked = np.where(tokens > FILLING * tokens[-1], counts, 0)
+    classes = np.clip((sizes + grain // 2) // grain, 1, room) - 1
+    counts -= asked
+    plan = []
+    for phase in range(PHASES):
+        demand = np.bincount(classes, weights=asked, minlength=room).astype(np.int64)
+        more = _spelt_out(rounded(fractional(demand, room, rounds >> phase), demand, room), asked, length, grain)
+        if not more:
+            break
+        plan += more
+    counts += asked
+    return plan
+
+
+def best_fit(counts: np.ndarray, length: int) -> list[tuple[list[int], int]]:
     """Pack a histogram longest first, each sequence filled by the longest that still fit.
 
     Equal sequences are made together, so the cost depends on the number of lengths and not of pieces.
@@ -271,29 +393,27 @@ def best_fit(counts: np.ndarray, length: int) -> list[tuple[np.ndarray, int]]:
         present = np.flatnonzero(left)
         if not len(present):
             return plan
-        shape = np.zeros(len(counts), np.int64)
+        shape: dict[int, int] = {}
         room = length
         while len(present := present[present <= room]):
-            size = present[-1]
-            many = min(int(left[size] - shape[size]), room // int(size))
-            shape[size] += many
-            room -= many * int(size)
+            size = int(present[-1])
+            shape[size] = min(int(left[size]), room // size)
+            room -= shape[size] * size
             present = present[:-1]
-        held = np.flatnonzero(shape)
-        many = int((left[held] // shape[held]).min())
-        plan.append((shape, many))
-        left[held] -= many * shape[held]
+        many = min(int(left[size]) // each for size, each in shape.items())
+        plan.append(([size for size, each in shape.items() for _ in range(each)], many))
+        for size, each in shape.items():
+            left[size] -= many * each
 
 
-def runs(plan: list[tuple[np.ndarray, int]]) -> dict[int, np.ndarray]:
+def runs(plan: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
     """For each length the runs of ranks: first rank, first sequence, pieces each, offset."""
     found: dict[int, list[tuple[int, int, int, int]]] = {}
     given: dict[int, int] = {}
     sequence = 0
-    for shape, many in plan:
+    for sizes, many in plan:
         offset = 0
-        for size in np.flatnonzero(shape).tolist():
-            each = int(shape[size])
+        for size, each in sorted(Counter(sizes).items()):
             found.setdefault(size, []).append((given.get(size, 0), sequence, each, offset))
             given[size] = given.get(size, 0) + each * many
             offset += each * size

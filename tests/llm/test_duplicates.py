@@ -320,13 +320,27 @@ def test_configurations_hold_every_piece():
     for top in (10, 100):
         counts = np.append(0, random_.integers(0, 50, top))
         plan = packing.configurations(counts, top)
-        held = sum(shape * many for shape, many in plan)
-        assert (held == counts).all() and all((shape * np.arange(top + 1)).sum() <= top for shape, _ in plan)
+        held = sum(np.bincount(sizes, minlength=top + 1) * many for sizes, many in plan)
+        assert (held == counts).all() and all(sum(sizes) <= top for sizes, _ in plan)
         used, bound = sum(many for _, many in plan), (counts * np.arange(top + 1)).sum() / top
         assert used <= 1.12 * bound + 2
     assert packing.configurations(np.zeros(11, int), 10) == []
 
 
+def test_the_linear_program_places_most_pieces():
+    random_ = np.random.default_rng(5)
+    for n in (8_000, 200_000):
+        lengths = np.clip(random_.lognormal(6.3, 0.9, n).astype(int), 1, 4095)
+        counts = np.bincount(lengths, minlength=4097)
+        left = counts.copy()
+        part = packing.linear_part(left, 4096)
+        held = sum(np.bincount(sizes, minlength=4097) * many for sizes, many in part)
+        assert (held + left == counts).all() and held.sum() > 0.9 * n
+        used = sum(many for _, many in packing.configurations(counts, 4096))
+        alone = sum(many for _, many in packing.best_fit(counts, 4096))
+        assert used <= 1.001 * alone + 1
+
+
 def test_price_is_the_best_configuration():
     random_ = np.random.default_rng(1)
     for _ in range(20):
