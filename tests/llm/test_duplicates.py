@@ -266,6 +266,55 @@ def test_leaks_match_exact_alignment(spark):
     assert all(abs(found[k] - expected[k]) < 1e-9 for k in found)
 
 
+def test_tables_meet_edited_windows_and_few_others():
+    """Pieces at the distance bound are met in nine of ten cases or more, unrelated windows in under one of twenty."""
+    random_ = np.random.default_rng(2)
+    for size in (8, 10, 20, 32):
+        pieces = random_.integers(1, 1 << 60, (300, size)).astype(np.uint64)
+        block = decontaminate.Items(list(range(300)), list(pieces), 0.8, decontaminate.RECALL)
+        edited = np.zeros((300, decontaminate.PIECE_WORDS), np.uint64)
+        for at, piece in enumerate(pieces):
+            words = piece.tolist()
+            for _ in range(decontaminate.edits_allowed(size, 0.8)):
+                place = random_.integers(len(words))
+                words[place : place + 1] = [[], [7], [words[place], 7]][random_.integers(3)]
+            edited[at, : len(words[:size])] = words[:size]
+        window, piece = block.met(edited, np.full(300, size))
+        assert (window == piece).sum() >= 0.93 * 300
+        other = np.zeros((3000, decontaminate.PIECE_WORDS), np.uint64)
+        other[:, :size] = random_.integers(1, 1 << 60, (3000, size))
+        assert len(block.met(other, np.full(3000, size))[0]) < 0.05 * 3000
+
+
+def test_edits_may_gather_in_a_long_item(spark):
+    r = random.Random(31)
+    word = lambda: f"{r.choice('abcdefgh')}{r.randrange(5000)}"
+    table, docs = [], []
+    for key in range(20):
+        words = [word() for _ in range(1000)]
+        table.append((key, " ".join(words)))
+        low = r.choice((0, 400, 744))
+        for at in r.sample(range(low, low + 256), 180):
+            words[at] = "other"
+        docs.append((key, " ".join([*(word() for _ in range(30)), *words, *(word() for _ in range(30))])))
+    found = decontaminate.find_leaks(frame(spark, docs), spark.createDataFrame(table, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == {(key, key) for key in range(20)}
+    # Words edited at an end may be left out of the stretch at the same distance.
+    assert all(abs(x.similarity - 0.82) < 1e-9 and 30 <= x.first_word and x.first_word + x.n_words <= 1030 for x in found)
+
+
+def test_every_stretch_of_an_item_is_reported(spark):
+    item = "one two three four five six seven eight nine ten"
+    docs = [(1, f"a b {item} c d {item} {item.replace('three', 'x')} e"), (2, f"é {item}")]
+    found = decontaminate.find_leaks(frame(spark, docs), spark.createDataFrame([(5, item)], "item_id long, text string"))
+    rows = sorted((x.doc_id, x.first_word, x.n_words, round(x.similarity, 3), x.start, x.stop) for x in found.collect())
+    size = len(item)
+    assert rows == [
+        (1, 2, 10, 1.0, 4, 4 + size), (1, 14, 10, 1.0, 9 + size, 9 + 2 * size),
+        (1, 24, 10, 0.9, 10 + 2 * size, 6 + 3 * size), (2, 1, 10, 1.0, 3, 3 + size),
+    ]
+
+
 def test_leaks_of_awkward_tables(spark, folder, nothing):
     assert queries.op3_decontaminate(spark, folder).count() == 0
     assert queries.op3_decontaminate(spark, nothing).count() == 0
