@@ -53,15 +53,17 @@ BOILERPLATE_WORDS = frozenset(
     "taboola outbrain complementary contentinfo search".split()
 )
 
-# Nothing here backtracks or reads on past the next tag, so malformed pages take no longer.  Quoted values of
-# over a thousand characters may not hold a tag's opening.
-_NAME = r"([a-zA-Z][\w:.-]*+)"
-_TAG = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(/?){_NAME}((?:[^<>"']++|"[^"]{{0,1000}}"|'[^']{{0,1000}}'){{0,100}}+)>|<(/?){_NAME}([^<>]*+)>|<[!?][^<>]*+>""",
-    re.DOTALL,
+# A tag as browsers read it: a quote opens a value only behind an equals sign, and may hold anything but itself.
+_OPENING = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_NAME = r"<(/?)([a-zA-Z][\w:.-]*+)"
+_ELEMENT = re.compile(
+    _NAME + r"""((?:=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|[^>=]++)*+)>"""
 )
-_NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:\s|^)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.IGNORECASE)
+# Where a quote is never closed, a tag ends at the next angle bracket.
+_UNCLOSED = re.compile(_NAME + r"([^>]*+)>")
+_REMARK = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))()()()|<[!?][^>]*+>()()()", re.DOTALL)
+_ATTRIBUTE = re.compile(r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s]*+)))?+""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
 # First words of a class that tells what a page's layout has or lacks ("no-sidebar").
 LAYOUT_WORDS = frozenset("no not without with has hide".split())
@@ -70,6 +72,54 @@ RAW = frozenset("script style textarea title iframe".split())
 _SPACE = re.compile(r"\s+")
 
 
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
+
+
+def _tags(page: str) -> Iterator[re.Match]:
+    """Tags, comments and declarations in order; groups tell the slash, name and attributes of a tag.
+
+    Every tag is read once, so malformed pages take no longer.
+    """
+    at = 0
+    quotes_fail_before = -1
+    while opening := _OPENING.search(page, at):
+        start = opening.start()
+        if page[start + 1] in "!?":
+            tag = _REMARK.match(page, start)
+        else:
+            tag = None
+            if start >= quotes_fail_before:
+                tag = _ELEMENT.match(page, start)
+            if not tag and (tag := _UNCLOSED.match(page, start)):
+                quotes_fail_before = max(page.rfind('"'), page.rfind("'"))
+        if not tag:
+            return
+        yield tag
+        at = tag.end()
+        name = (tag[2] or "").lower()
+        if name in RAW and not tag[1] and not tag[3].endswith("/"):
+            end = _RAW_END[name].search(page, at)
+            if not end:
+                return
+            at = end.start()
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Values by name in lower case; of repeated names the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or "hidden" in attributes.get("class", "").lower().split()
+        or bool(_NOT_SHOWN.search(attributes.get("style", "")))
+    )
+
+
 class _Lines:
     """The lines of a page: text, weight, and whether an article holds it."""
 
@@ -103,15 +153,15 @@ def _names_boilerplate(value: str) -> bool:
     return False
 
 
-def _is_boilerplate(name: str, attributes: str, article: bool, named: bool) -> bool:
+def _is_boilerplate(name: str, attributes: dict[str, str], article: bool, named: bool) -> bool:
     if name in BOILERPLATE:
         return not (article and name in NOT_IN_ARTICLE)
     if not attributes or name in ("html", "body"):
         return False
-    if _HIDDEN.search(attributes):
+    if _is_hidden(attributes):
         return True
     return named and any(
-        _names_boilerplate(found[1] or found[2] or found[3] or "") for found in _NAMING.finditer(attributes)
+        _names_boilerplate(html.unescape(attributes.get(key, ""))) for key in ("class", "id", "role")
     )
 
 
@@ -126,9 +176,9 @@ def lines_of(page: str, named: bool = True, lift: bool = False) -> list[tuple[st
     # The element that holds boilerplate, and how many of its name are open within it.
     outer, depth, by_name = "", 0, False
     skip_to, inside = "", Counter()
-    for tag in _TAG.finditer(page):
+    for tag in _tags(page):
         if skip_to:
-            name = (tag[2] or tag[5] or "").lower()
+            name = (tag[2] or "").lower()
             if not tag[0].startswith("</"):
                 # A body ends a head that is not closed.
                 if not (skip_to == "head" and name == "body"):
@@ -149,13 +199,12 @@ def lines_of(page: str, named: bool = True, lift: bool = False) -> list[tuple[st
         if tag.start() > at:
             lines.add(page[at : tag.start()], links > 0)
         at = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
+        name = (tag[2] or "").lower()
         if not name:
             continue
-        closing = bool(tag[1] or tag[4])
-        attributes = (tag[3] if tag[2] else tag[6]) or ""
+        closing = bool(tag[1])
         if name in DROPPED and not closing:
-            if not attributes.endswith("/"):
+            if not tag[3].endswith("/"):
                 skip_to, inside = name, Counter()
             continue
         if name == "a":
@@ -174,9 +223,9 @@ def lines_of(page: str, named: bool = True, lift: bool = False) -> list[tuple[st
                 outer, depth = "", 0
             if outer:
                 depth += name == outer
-            elif _is_boilerplate(name, attributes, articles > 0, named):
+            elif _is_boilerplate(name, attributes := _attributes(tag[3]), articles > 0, named):
                 outer, depth = name, 1
-                by_name = name not in BOILERPLATE and not _HIDDEN.search(attributes)
+                by_name = name not in BOILERPLATE and not _is_hidden(attributes)
             if name in ARTICLE:
                 articles += 1
         if name in BLOCKS:

@@ -483,5 +483,5 @@ def pack(
     kind = docs.schema[id_column].dataType.simpleString()
     return numbered.mapInArrow(
         place,
-        f"{id_column} {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
+        f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )

@@ -5,12 +5,13 @@ itself as features, hashed into a fixed number of buckets.  A text is the averag
 of all its features.  Embeddings and the softmax on top are trained together, in numpy, so
 a misspelling that was never seen shares the vectors of the n-grams that it kept.
 
-The model is fitted on a bounded, hash-ordered sample of the labelled rows; its bound is
-``TRAIN_ROWS``.  A tenth of it chooses the number of passes.  The model's size is fixed by the number
+The model is fitted on a bounded, hash-ordered sample of the labelled rows; its bounds are
+``TRAIN_ROWS`` and, for very long texts, ``TRAIN_FEATURES`` distinct features of all its texts together.  A tenth of it chooses the number of passes.  The model's size is fixed by the number
 of buckets, and once trained it folds into one weight per bucket, so scoring is one narrow pass.
 
 Null, empty and blank texts have no features and get the score of the bias alone.  Labels that are null,
-or whose document is missing, are not used; of repeated labels the highest counts.
+or whose document is missing, are not used; of repeated labels the highest counts, and of rows that share
+an id one is trained on, by the hash of its text.
 Repeated rows are scored each; a null id is scored and not held out.  An empty table, or one without
 labels of both kinds, gives scores from a model with the observed rate of label 1 (or a half).
 """
@@ -26,9 +27,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.llm.frames import Chunk, chunks, lowered, mix, word_hashes
+from sluicegate.llm.frames import Chunk, chunks, lowered, mix, stored, word_hashes
 
 TRAIN_ROWS = 4000
+TRAIN_FEATURES = 24_000_000
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4, 5)
@@ -211,8 +213,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.ListArray.from_arrays(offsets, pa.array(keys % BUCKETS, pa.int32())),
                     pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
                     batch.column(2)[chunk.rows],
+                    pa.array(np.diff(cut), pa.int64()),
                 ],
-                ["label", "buckets", "counts", "place"],
+                ["label", "buckets", "counts", "place", "size"],
             )
 
 
@@ -225,6 +228,7 @@ def fit(
     text_column: str = "text",
     label_column: str = "toxic",
     train_rows: int = TRAIN_ROWS,
+    train_features: int = TRAIN_FEATURES,
 ) -> Model:
     """Fit on at most ``train_rows`` labelled rows for which ``usable`` (of the id) holds.
 
@@ -238,13 +242,28 @@ def fit(
         .limit(train_rows)
     )
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = (
-        texts.join(F.broadcast(sample), "id")
-        .select("label", "text", F.xxhash64("id", "text").alias("place"))
-        .mapInArrow(_counted, "label int, buckets array<int>, counts array<int>, place long")
-        .toArrow()
+    labelled = texts.join(F.broadcast(sample), "id").withColumn("place", F.xxhash64("id", "text"))
+    # However many rows share an id, one place of each comes back.
+    places = [r[0] for r in labelled.groupBy("id").agg(F.min("place")).select("min(place)").collect()]
+    chosen = docs.sparkSession.createDataFrame([(place,) for place in places], "place long")
+    bags = stored(
+        labelled.join(F.broadcast(chosen), "place", "left_semi")
+        .select("label", "text", "place")
+        .mapInArrow(
+            _counted, "label int, buckets array<int>, counts array<int>, place long, size long"
+        )
+        .groupBy("place")
+        .agg(F.first("label").alias("label"), F.first("buckets").alias("buckets"), F.first("counts").alias("counts"), F.first("size").alias("size")),
+        "bags",
     )
-    # An order that does not depend on which task came first.
+    # In an order that does not depend on which task came first.
+    total, last = 0, None
+    for place, size in sorted(tuple(r) for r in bags.select("place", "size").collect()):
+        total += size
+        if total > train_features:
+            break
+        last = place
+    rows = bags.where(F.col("place") <= F.lit(last)).select("label", "buckets", "counts", "place").toArrow()
     return train(bags_of(rows.take(pa.compute.sort_indices(rows["place"]))))
 
 
@@ -267,5 +286,5 @@ def score(
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, F.col(text_column).cast("string").alias("text")).mapInArrow(
-        run, f"{id_column} {kind}, score double"
+        run, f"`{id_column}` {kind}, score double"
     )

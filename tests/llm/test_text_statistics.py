@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sluicegate.llm import html_text, language_model, licenses, quality, queries, toxicity, trie
 from tests.llm.texts import corpus, frame, prose, save
@@ -244,6 +246,44 @@ PAGE = """<html><head><title>T</title><script>if (a<b) "</p>"</script></head><bo
 <form><p>Mail</p></form><footer>&copy; all</footer>"""
 
 
+LONG = "x" * 900
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<article><p data-x="{LONG} > {LONG}">One.</p></article>', "One."),
+        ("<article><p" + "".join(f' a{i}="v > {i}"' for i in range(300)) + ">One.</p></article>", "One."),
+        ('<article><p title="the hidden truth">One.</p><p alt="a hidden gem">Two.</p></article>', "One.\nTwo."),
+        ('<article><p hidden>No.</p><p class="a hidden">No.</p><p style="display: none">No.</p><p>One.</p></article>', "One."),
+        ("<article><p title=it's>One.</p><p title=it's>Two.</p></article>", "One.\nTwo."),
+        ('<article><p data-a="class=menu">One.</p><script>if (a<b) x = "</p>";</script><p>Two.</p></article>', "One.\nTwo."),
+        ('<article><p>One.</p><p title="open>Two.</p></article>', "One.\nTwo."),
+    ],
+)
+def test_attributes_are_read_as_browsers_do(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_malformed_pages_take_no_longer():
+    for part in ('<a b="><a" ', "<a <a ", '<a x="', "<!-- <p ", "<a b='<a' c="):
+        page = part * 60_000
+        began = time.monotonic()
+        html_text.main_text(page)
+        assert time.monotonic() - began < 20
+
+
+def test_training_rows_are_bounded_by_id_and_features(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda bags: seen.append(len(bags.labels)) or toxicity.Model(np.zeros(toxicity.BUCKETS), 0.0))
+    docs = frame(spark, [(1, f"text number {i}") for i in range(300)] + [(2, "good text"), (3, "more text")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, F.lit(True))
+    toxicity.fit(docs, labels, F.lit(True), train_features=40)
+    toxicity.fit(docs, labels, F.lit(True), train_features=0)
+    assert seen[0] == 3 and 0 < seen[1] < 3 and seen[2] == 0
+
+
 def test_main_text(spark):
     assert html_text.main_text(PAGE) == "Title & more\nFirst bold text\nSecond one\nafter\nEnd."
     body = "".join(f"<p>{'Long sentence of the story. ' * 5}</p>" for _ in range(4))
