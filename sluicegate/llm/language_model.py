@@ -35,6 +35,8 @@ from sluicegate.session import shared_scratch
 
 END = np.uint64(0x5DEECE66D1234567)
 LEAST_COUNT = 1
+# Places of pairs take the upper half of a signed key.
+MOST_PAIRS = 1 << 31
 DISCOUNT = 0.75
 # Keys a task holds before it sends its blocks, and text scored at a time.
 HELD_KEYS = 3_000_000
@@ -352,7 +354,7 @@ def train(docs: DataFrame, text_column: str = "text", shards: int | None = None)
         chance, chances = quantised(np.log10(share + left[context] * lower))
         back, backs = quantised(np.log10(left))
         arrays = level(context, word, contexts, counted.vocabulary) | {
-            "chance": chance, "chances": chances, "back": back, "backs": backs, "count": counts.astype(np.uint32),
+            "chance": chance, "chances": chances, "back": back, "backs": backs, "count": counts.astype(np.uint32 if counts.max() < 1 << 32 else np.uint64),
         }
         _write(counted.file("pairs", shard), pack(arrays))
         return len(keys)
@@ -360,6 +362,8 @@ def train(docs: DataFrame, text_column: str = "text", shards: int | None = None)
     pairs = _blocks(texts, pair_keys, model.pair_shard)
     sizes = {shard: size for shard, (size, _) in _merged(pairs, shards, build_pairs).items()}
     paired = Model(folder, shards, model.word_starts, _starts(sizes, shards), frozenset(), model.tokens)
+    if paired.pair_starts[-1] >= MOST_PAIRS:
+        raise ValueError(f"{paired.pair_starts[-1]} distinct pairs of words; keys of triples hold {MOST_PAIRS}")
 
     def triple_keys(chunk: Chunk) -> np.ndarray:
         codes, first = tokens(chunk)
