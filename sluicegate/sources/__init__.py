@@ -12,6 +12,7 @@ from sluicegate.sources.json_records import (
     refuse_lists,
 )
 from sluicegate.sources.run_tables import (
+    PACKED_LINES,
     drop_run,
     land_bronze,
     land_lines,
@@ -22,6 +23,7 @@ from sluicegate.sources.run_tables import (
 )
 
 __all__ = [
+    "PACKED_LINES",
     "drop_run",
     "flatten_pages",
     "land_bronze",
