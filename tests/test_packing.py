@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.plans import PRODUCTS
 from sluicegate.sources import land_lines, read_json, run_tables
+from sluicegate.workload import registry
 from sluicegate.workload.inputs import product_pages
 from tests.conftest import plan_of, record
 
@@ -35,3 +36,16 @@ def test_pages_are_dealt_out_before_their_records_are_derived(spark):
     assert plan.count("Exchange hashpartitioning") == 1
     # What is made of the tables' columns stands above the exchange.
     assert plan.index("cocoa, sugar") < plan.index("Exchange hashpartitioning")
+
+
+def test_files_of_raw_records_are_packed(spark, monkeypatch):
+    for name, label in (("page_flatten", "pages"), ("pages_to_report", "pages-to-report")):
+        places = []
+        scratch = registry.shared_scratch
+        monkeypatch.setattr(registry, "shared_scratch", lambda *a, s=scratch: places.append(s(*a)) or places[-1])
+        registry.queries()[name](spark, "/root/testdata/sf0.001")
+        monkeypatch.undo()
+        folder = Path(places[0].removeprefix("file:"))
+        files = [f for f in folder.rglob("part-*.json*")]
+        landed = [f for f in files if "reports" not in f.parts]
+        assert landed and all(f.suffix == ".gz" for f in landed), name
