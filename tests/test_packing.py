@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from sluicegate.plans import PRODUCTS
-from sluicegate.sources import land_lines, read_json, run_tables
+from sluicegate.sources import land_bronze, land_lines, read_json, run_tables
 from sluicegate.workload import registry
 from sluicegate.workload.inputs import product_pages
 from tests.conftest import plan_of, record
@@ -22,6 +22,7 @@ def test_landed_lines_are_packed_into_bounded_files(spark, bronze, run, tmp_path
     lines = rows.select(F.to_json(F.struct("*")).alias("value"))
     for name, landed in (
         ("lines", land_lines(lines, f"{tmp_path}/lines", run)),
+        ("records", land_bronze(rows, f"{tmp_path}/records", run)),
     ):
         files = list(Path(landed).glob("part-*"))
         assert len(files) == 4 and all(f.suffix == ".gz" for f in files), name
