@@ -40,7 +40,7 @@ def test_pages_are_dealt_out_before_their_records_are_derived(spark):
 
 
 def test_files_of_raw_records_are_packed(spark, monkeypatch):
-    for name, label in (("page_flatten", "pages"), ("pages_to_report", "pages-to-report")):
+    for name, label in (("json_scan", "json-scan"), ("page_flatten", "pages"), ("pages_to_report", "pages-to-report")):
         places = []
         scratch = registry.shared_scratch
         monkeypatch.setattr(registry, "shared_scratch", lambda *a, s=scratch: places.append(s(*a)) or places[-1])
