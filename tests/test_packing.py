@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -50,3 +51,20 @@ def test_files_of_raw_records_are_packed(spark, monkeypatch):
         files = [f for f in folder.rglob("part-*.json*")]
         landed = [f for f in files if "reports" not in f.parts]
         assert landed and all(f.suffix == ".gz" for f in landed), name
+
+
+def test_staged_rows_come_in_small_files(spark, bronze, run, tmp_path, monkeypatch):
+    staged = []
+    discard = silver_plan.discard_scratch
+
+    def looked_at(session, path):
+        files = Path(path.removeprefix("file:")).rglob("*.parquet")
+        staged.extend(spark.read.parquet(str(f)).count() for f in files)
+        discard(session, path)
+
+    monkeypatch.setattr(silver_plan, "STAGED_ROWS", 100)
+    monkeypatch.setattr(silver_plan, "discard_scratch", looked_at)
+    rows = bronze(*(record(code=str(i % 200)) for i in range(450))).coalesce(1)
+    result = silver_plan.bronze_to_silver(rows, PRODUCTS, run, f"{tmp_path}/silver", f"{tmp_path}/quarantine")
+    assert (result.source_count, result.valid_count) == (450, 200)
+    assert sorted(staged) == [50, 100, 100, 100, 100]
