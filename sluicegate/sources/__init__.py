@@ -6,10 +6,11 @@ from sluicegate.sources.json_records import (
     page_count_columns,
     page_counts,
     page_lines,
-    read_flagged,
     read_json,
     read_pages,
+    read_with_source,
     refuse_lists,
+    sound_files,
 )
 from sluicegate.sources.run_tables import (
     PACKED_LINES,
@@ -31,14 +32,15 @@ __all__ = [
     "page_count_columns",
     "page_counts",
     "page_lines",
-    "read_flagged",
     "read_json",
     "read_pages",
     "read_run",
     "read_table_run",
+    "read_with_source",
     "refuse_lists",
     "register_table",
     "run_exists",
+    "sound_files",
     "write_run",
     "write_runs",
 ]
