@@ -20,6 +20,7 @@ Null and empty texts are one piece that holds the end id alone.  Very long texts
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import zlib
@@ -28,15 +29,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicegate.llm.frames import stored
+from sluicegate.llm.frames import stored, word_hashes
 
-# Parts whose ids a worker remembers, and parts looked up at a time.
-CACHED_PARTS = 250_000
-GROUP_PARTS = 100_000
+# Parts whose ids a worker remembers between groups of texts, and characters of a group.
+CACHED_PARTS = 800_000
+GROUP_CHARS = 1 << 22
 # Letters below U+0240 whose lower case lies beyond the letters spelt out below.
 FAR_LETTER = re.compile(
     "[" + "".join(chr(c) for c in range(0x80, 0x240) if max(chr(c).lower()) > "\u024f") + "]"
@@ -47,6 +49,19 @@ _NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 PART = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \u0085\u00a0{_LETTERS}{_NUMBERS}]+"
 )
+SPACE, LETTER, NUMBER, MARK = range(4)
+# What each character below U+0250 is; bytes beyond ASCII are set by pairs.
+KINDS = np.array(
+    [
+        LETTER if re.match(f"[{_LETTERS}]", c)
+        else NUMBER if re.match(f"[{_NUMBERS}]", c)
+        else MARK if PART.match(c)
+        else SPACE
+        for c in map(chr, range(0x250))
+    ],
+    np.uint8,
+)
+BYTE_KINDS = KINDS[:0x80].tobytes() + bytes(0x80)
 # Most rounds of the program, how steeply weights fall, classes of lengths, and the share of tokens left for filling.
 ROUNDS = 1000
 STEEPNESS = 20.0
@@ -60,12 +75,51 @@ REACH = 4
 ID_BYTES = 4
 
 
+def cut_parts(texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The parts of plain texts, as PART finds them in lower case, and the first part of each text (one more)."""
+    lowered = [text.lower().encode() for text in texts]
+    raw = b"".join([part for text in lowered for part in (text, b" ")]) + b"  "
+    data = np.frombuffer(raw, np.uint8)
+    kinds = np.frombuffer(bytearray(raw.translate(BYTE_KINDS)), np.uint8)
+    lead = np.flatnonzero(data >= 0xC0)
+    kinds[lead] = kinds[lead + 1] = KINDS[(data[lead] & 0x1F).astype(np.int64) << 6 | data[lead + 1] & 0x3F]
+    solid = kinds != SPACE
+    begins = np.empty(len(data), bool)
+    begins[0] = True
+    np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+    begins |= kinds == NUMBER
+    begins &= solid
+    begins[lead + 1] = False
+    # A contraction takes one or two letters from the run behind its apostrophe.
+    quote = np.flatnonzero(data == ord("'"))
+    quote = quote[begins[quote]]
+    one, two = data[quote + 1], data[quote + 2]
+    taken = np.isin(one, list(b"stmd")).astype(np.int64)
+    for letters in (b"re", b"ve", b"ll"):
+        taken[(one == letters[0]) & (two == letters[1])] = 2
+    quote, taken = quote[taken > 0], taken[taken > 0]
+    begins[quote + 1] = False
+    begins[quote + 1 + taken] = solid[quote + 1 + taken]
+    starts = np.cumsum([0, *map(len, lowered)]) + np.arange(len(lowered) + 1)
+    bounds = np.searchsorted(np.flatnonzero(begins), starts)
+    offsets = np.append(np.flatnonzero(begins[solid]), np.count_nonzero(solid)).astype(np.int32)
+    letters = pa.py_buffer(data[solid])
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), letters), bounds
+
+
+def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of runs, one after another, each from its first on."""
+    places = np.repeat(first - np.cumsum(counts) + counts, counts)
+    places += np.arange(len(places))
+    return places
+
+
 class PartEncoder:
     """Token ids of a text, remembered by part.
 
     The tokenizer lowers a text's case, drops its white space and cuts it into parts (runs of
     letters, runs of marks, single digits) that it encodes one by one.  Texts of Latin letters are cut
-    here, and each distinct part is encoded once; other texts go through the whole tokenizer.
+    here, many at once, and each distinct part is encoded once; other texts go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -84,46 +138,105 @@ class PartEncoder:
         tokens = self._tokenizer.get_vocab()
         self._ends_part = np.zeros(max(tokens.values()) + 1, bool)
         self._ends_part[[i for token, i in tokens.items() if token.endswith("</w>")]] = True
-        self._known: dict[str, bytes] = {}
-
-    def _learn(self, wanted: set[str]) -> None:
+        # Known parts by number, their ids one after another, where a part's begin (one more), and how often it was met.
+        # The empty part, which no text has, saves the case of none.
+        self._parts = pa.array([""])
+        self._ids = np.empty(0, "<u4")
+        self._bounds = np.zeros(2, np.int64)
+        self._uses = np.zeros(1, np.int64)
+        # Hashes of the parts in order, and whose they are.
+        self._hashes = np.zeros(1, np.uint64)
+        self._owners = np.zeros(1, np.int64)
+
+    def _numbers(self, parts: pa.StringArray) -> np.ndarray:
+        """The number of each of the parts, which are distinct; unknown ones are learnt.
+
+        A part is found by its hash and compared, so one that shares its hash with another is just learnt again.
+        """
+        offsets = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1, 4 * parts.offset)
+        data = np.frombuffer(parts.buffers()[2], np.uint8)
+        # Hashing takes many bytes for one, so the parts of a very long text are hashed some at a time.
+        cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], GROUP_CHARS)), len(parts))).tolist()
+        hashes = []
+        for low, high in itertools.pairwise(cuts):
+            within = offsets[low : high + 1] - offsets[low]
+            hashes.append(word_hashes(data[offsets[low] : offsets[high]], within[:-1], within[1:]))
+        hashes = np.concatenate(hashes)
+        place = np.searchsorted(self._hashes, hashes)
+        numbers = self._owners[np.minimum(place, len(self._owners) - 1)]
+        fresh = ~pc.equal(self._parts.take(pa.array(numbers)), parts).to_numpy(zero_copy_only=False)
+        numbers[fresh] = np.arange(len(self._parts), len(self._parts) + np.count_nonzero(fresh))
+        self._learn(parts.filter(pa.array(fresh)))
+        order = np.flatnonzero(fresh)[np.argsort(hashes[fresh])]
+        self._owners = np.insert(self._owners, place[order], numbers[order])
+        self._hashes = np.insert(self._hashes, place[order], hashes[order])
+        return numbers
+
+    def _learn(self, parts: pa.StringArray) -> None:
         """Exactly the last token of a part is marked as an end."""
-        parts = list(wanted)
-        for low in range(0, len(parts), 200):
-            some = parts[low : low + 200]
-            encoded = self._plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(encoded[0].ids, "<u4")
-            ends = ((np.flatnonzero(self._ends_part[ids]) + 1) * ID_BYTES).tolist()
-            data = ids.tobytes()
-            self._known.update(
-                zip(some, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True)
-            )
+        wanted = parts.to_numpy(zero_copy_only=False).tolist()
+        ids = [self._ids]
+        for low in range(0, len(wanted), 200):
+            some = " ".join(wanted[low : low + 200])
+            encoded = self._plain.encode_batch_fast([some], add_special_tokens=False)
+            ids.append(np.array(encoded[0].ids, "<u4"))
+        known, self._ids = len(self._ids), np.concatenate(ids)
+        ends = np.flatnonzero(self._ends_part[self._ids[known:]]) + 1 + known
+        if len(ends) != len(wanted):
+            raise ValueError("a part's tokens do not end with it")
+        self._bounds = np.append(self._bounds, ends)
+        self._parts = pa.concat_arrays([self._parts, parts])
+        self._uses = np.append(self._uses, np.zeros(len(wanted), np.int64))
+
+    def _forget(self) -> None:
+        """Keep the parts met most, as many as half the limit; what they were met for counts half from now on."""
+        kept = np.argsort(self._uses, kind="stable")[-(CACHED_PARTS // 2) :]
+        counts = np.diff(self._bounds)[kept]
+        self._ids = self._ids[spread(self._bounds[kept], counts)]
+        self._bounds = np.append(0, np.cumsum(counts))
+        self._parts = self._parts.take(pa.array(kept))
+        self._uses = self._uses[kept] // 2
+        renumbered = np.full(len(self._owners), -1)
+        renumbered[kept] = np.arange(len(kept))
+        owners = renumbered[self._owners]
+        self._owners, self._hashes = owners[owners >= 0], self._hashes[owners >= 0]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, four bytes each."""
-        group: list[list[str] | bytes] = []
-        wanted: set[str] = set()
-        size = 0
-        for text in [*texts, None]:
-            if text is not None:
-                if self._is_plain(text):
-                    parts = PART.findall(text.lower())
-                    wanted.update(set(parts).difference(self._known))
-                    group.append(parts)
-                    size += len(parts)
-                else:
-                    ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-                    group.append(np.array(ids, "<u4").tobytes())
-            if text is None or size > GROUP_PARTS:
-                if len(self._known) + len(wanted) > CACHED_PARTS:
-                    self._known.clear()
-                    wanted = {part for parts in group if isinstance(parts, list) for part in parts}
-                self._learn(wanted)
-                for parts in group:
-                    if isinstance(parts, list):
-                        parts = b"".join(map(self._known.__getitem__, parts))
-                    yield parts
-                group, wanted, size = [], set(), 0
+        low = size = 0
+        for high, text in enumerate(texts, 1):
+            size += len(text)
+            if size > GROUP_CHARS or high == len(texts):
+                yield from self._encode_group(texts[low:high])
+                low, size = high, 0
+
+    def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
+        plain = [self._is_plain(text) for text in texts]
+        cut = self._encode_plain([text for text, fits in zip(texts, plain, strict=True) if fits])
+        for text, fits in zip(texts, plain, strict=True):
+            if fits:
+                yield next(cut)
+            else:
+                ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+                yield np.array(ids, "<u4").tobytes()
+
+    def _encode_plain(self, texts: list[str]) -> Iterator[bytes]:
+        """Equal parts are looked up once for all texts."""
+        parts, bounds = cut_parts(texts)
+        if not len(parts):
+            yield from [b""] * len(texts)
+            return
+        named = parts.dictionary_encode()
+        numbers = self._numbers(named.dictionary)
+        met = named.indices.to_numpy()
+        self._uses[numbers] += np.bincount(met)
+        first, counts = self._bounds[numbers][met], np.diff(self._bounds)[numbers][met]
+        ids = self._ids[spread(first, counts)]
+        tokens = np.append(0, np.cumsum(counts))[bounds].tolist()
+        if len(self._parts) > CACHED_PARTS:
+            self._forget()
+        for low, high in itertools.pairwise(tokens):
+            yield ids[low:high].tobytes()
 
     @staticmethod
     def _is_plain(text: str) -> bool:

@@ -417,6 +417,63 @@ def test_part_encoder_equals_the_tokenizer_on_every_letter_it_may_cut():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_parts_are_cut_as_the_pattern_cuts_them():
+    r = random.Random(9)
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer, encoder = Tokenizer.from_file(path), packing.PartEncoder(path)
+    pool = [*"''''stmdrevlaXZ 0129.,!-<|>_", "'ll", "'re", "'ve", "\n", "\t", "\x1c", "\x85", "\xa0"]
+    pool += [*"éÉßÿ×÷²¼ªºµ¿ĀſƻǃȡȿΣ日", "é"]
+    texts = ["".join(r.choices(pool, k=r.randint(0, 30))) for _ in range(1500)]
+    texts += ["", " ", "'", "'s", "'re", "'r", "''s", "a'", "é", "²", "a" * 5000, "\x00", "\x85"]
+    plain = [text for text in texts if encoder._is_plain(text)]
+    parts, bounds = packing.cut_parts(plain)
+    parts = parts.to_pylist()
+    assert len(plain) > 300 and len(bounds) == len(plain) + 1 and bounds[0] == 0 and bounds[-1] == len(parts)
+    for text, low, high in zip(plain, bounds, bounds[1:], strict=False):
+        assert parts[low:high] == packing.PART.findall(text.lower()), text
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert list(encoder.encode([])) == [] and list(encoder.encode(["", "  "])) == [b"", b""]
+
+
+class Counted:
+    """A tokenizer that notes the words it is asked for."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.asked += [word for text in texts for word in text.split()]
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_frequent_parts_stay_known(monkeypatch):
+    """Rare parts beyond those a worker remembers do not make it encode the frequent ones again."""
+    monkeypatch.setattr(packing, "CACHED_PARTS", 100)
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer, parts = Tokenizer.from_file(path), packing.PartEncoder(path)
+    parts._plain = Counted(parts._plain)
+    r = random.Random(6)
+    words = list(dict.fromkeys("".join(r.choices("abcdefghijklmnop", k=9)) for _ in range(900)))
+    common, rare = words[:30], words[30:830]
+    for low in range(0, len(rare), 40):
+        text = " ".join(common * 3 + rare[low : low + 40])
+        [ids] = parts.encode([text])
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(parts._plain.asked) == sorted(common + rare)
+
+
+def test_parts_that_share_a_hash_keep_their_ids(monkeypatch):
+    monkeypatch.setattr(packing, "word_hashes", lambda data, begin, end: (end - begin).astype(np.uint64) % np.uint64(3))
+    monkeypatch.setattr(packing, "GROUP_CHARS", 2000)
+    path = public_tokenizers.path(queries.TOKENIZER)
+    tokenizer, parts = Tokenizer.from_file(path), packing.PartEncoder(path)
+    texts = [text or "" for _, text in corpus()]
+    for _ in range(2):
+        for text, ids in zip(texts, parts.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage's decisions against plain Python on what the stage before it kept."""
     leak = items(spark).first().text
