@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from sluicegate.sources.catalog import read_table_run, register_table
+from sluicegate.sources.grouped_files import FileGroup, file_groups, small_files
 from sluicegate.sources.json_records import (
     flatten_pages,
     page_count_columns,
@@ -21,11 +22,15 @@ from sluicegate.sources.run_tables import (
     run_exists,
     write_run,
     write_runs,
+    write_runs_in_parts,
+    write_together,
 )
 
 __all__ = [
+    "FileGroup",
     "PACKED_LINES",
     "drop_run",
+    "file_groups",
     "flatten_pages",
     "land_bronze",
     "land_lines",
@@ -40,7 +45,10 @@ __all__ = [
     "refuse_lists",
     "register_table",
     "run_exists",
+    "small_files",
     "sound_files",
     "write_run",
     "write_runs",
+    "write_runs_in_parts",
+    "write_together",
 ]
